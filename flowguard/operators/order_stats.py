@@ -107,7 +107,10 @@ def kth_smallest(
     def in_window(items: list[_Target]) -> DataFrame:
         w = windows_df(items)
         # The window table has one row per target: bounded by the caller's target list.
-        joined = data.join(F.broadcast(w), group_cols) if group_cols else data.crossJoin(F.broadcast(w))
+        if group_cols:
+            joined = data.join(F.broadcast(w), group_cols)
+        else:
+            joined = data.withColumn("__one", F.lit(1)).join(F.broadcast(w.withColumn("__one", F.lit(1))), "__one")
         return joined.where((v >= F.col(_LO)) & (v <= F.col(_HI)))
 
     for _level in range(max_levels):
