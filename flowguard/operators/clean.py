@@ -8,6 +8,8 @@ itself is a narrow projection inside whole-stage code generation.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -103,7 +105,7 @@ def column_moments(df: DataFrame, columns: list[str]) -> tuple[dict[str, float],
     stds = {}
     for i, c in enumerate(columns):
         var = float(row[f"v{i}"] or 0.0)
-        stds[c] = 0.0 if is_constant_feature(var, means[c], n) else var ** 0.5
+        stds[c] = 0.0 if is_constant_feature(var, means[c], n) else math.sqrt(var)
     return means, stds
 
 

@@ -250,7 +250,8 @@ def q_a15_inspection(spark, sf_dir):
 
 
 def q_p26_recommendations(spark, sf_dir):
-    rep = quality.inspect_flows(flows_events(spark, sf_dir), data_source="files")
+    f = flows_events(spark, sf_dir).select("Source IP", "Destination IP", "Label")
+    rep = quality.inspect_flows(f, data_source="files")
     return rep.select(F.concat_ws(",", "recommendation_codes").alias("codes"), "attack_type_count", "feature_count_after_preprocess")
 
 
@@ -384,3 +385,48 @@ def q_m14_threshold_analysis(spark, sf_dir):
     valid, test = _valid_test(spark, sf_dir)
     t = threshold.threshold_analysis(valid, test, "price_score")
     return _round_all(t, ["model", "strategy_order", "strategy", "tn", "fp", "fn", "tp"])
+
+
+REGISTRY = {
+    "p5_to_number": q_p5_to_number,
+    "p8_binary_label": q_p8_binary_label,
+    "s4_head_per_group": q_s4_head_per_group,
+    "s5_seeded_sample": q_s5_seeded_sample,
+    "u1_union_by_name": q_u1_union_by_name,
+    "p20_mask_twin": q_p20_mask_twin,
+    "a3_dedup": q_a3_dedup,
+    "a4_duplicate_rows": q_a4_duplicate_rows,
+    "a5_medians": q_a5_medians,
+    "a6_moments": q_a6_moments,
+    "p7_usable_columns": q_p7_usable_columns,
+    "m20_prepare": q_m20_prepare,
+    "m21_prepare_all": q_m21_prepare_all,
+    "a1_edge_counts": q_a1_edge_counts,
+    "a2_host_degrees": q_a2_host_degrees,
+    "a1_port_counts": q_a1_port_counts,
+    "j_graph_lookup": q_j_graph_lookup,
+    "w3_in_sample_graph": q_w3_in_sample_graph,
+    "w4_stratified_split": q_w4_split,
+    "w5_fit_valid_split": q_w5_fit_valid_split,
+    "a8_raw_label_counts": q_a8_raw_label_counts,
+    "a9_top_values": q_a9_top_values,
+    "a10_cell_stats": q_a10_cell_stats,
+    "a15_inspection": q_a15_inspection,
+    "p26_recommendations": q_p26_recommendations,
+    "a14_dataset_summary": q_a14_dataset_summary,
+    "c1_label_distribution": q_c1_label_distribution,
+    "a16_confusion": q_a16_confusion,
+    "a17_metrics": q_a17_metrics,
+    "a18_roc_auc": q_a18_roc_auc,
+    "a19_quantiles": q_a19_quantiles,
+    "a21_histogram": q_a21_histogram,
+    "a22_attack_types": q_a22_attack_types,
+    "a20_best_model": q_a20_best_model,
+    "m18_model_comparison": q_m18_model_comparison,
+    "w1_pr_curve": q_w1_pr_curve,
+    "w1_pr_curve_lineitem": q_w1_pr_curve_lineitem,
+    "w2_roc_curve": q_w2_roc_curve,
+    "m10_orient": q_m10_orient,
+    "m11_m13_thresholds": q_m11_m13_thresholds,
+    "m14_threshold_analysis": q_m14_threshold_analysis,
+}
