@@ -55,7 +55,20 @@ def usable_columns(df: DataFrame, columns: list[str]) -> list[str]:
     return [c for c in columns if counts[c] > 0]
 
 
-def column_medians(df: DataFrame, columns: list[str], method: str = "exact", accuracy: int = 100_000) -> dict[str, float]:
+def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(feature, value) rows for the given columns (narrow unpivot)."""
+    return df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]).unpivot([], columns, "feature", "value")
+
+
+def feature_stats(df: DataFrame, columns: list[str]) -> dict:
+    """Non-null count, min and max per column, from one aggregate over the unpivoted values."""
+    from flowguard.operators.order_stats import group_counts
+
+    return group_counts(long_values(df, columns), "value", ["feature"]) if columns else {}
+
+
+def column_medians(df: DataFrame, columns: list[str], method: str = "exact", accuracy: int = 100_000,
+                   stats: dict | None = None) -> dict[str, float]:
     """A5: median of each column, missing values skipped; an all-missing column gives 0.
 
     ``exact`` unpivots to (feature, value) and finds the two middle values of each feature by
@@ -67,10 +80,8 @@ def column_medians(df: DataFrame, columns: list[str], method: str = "exact", acc
     if method == "approx":
         row = df.agg(*[F.percentile_approx(F.col(f"`{c}`"), 0.5, accuracy).alias(f"m{i}") for i, c in enumerate(columns)]).collect()[0]
         return {c: (float(row[f"m{i}"]) if row[f"m{i}"] is not None else 0.0) for i, c in enumerate(columns)}
-    long = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]).unpivot(
-        [], columns, "feature", "value"
-    )
-    res = exact_quantiles(long, "value", [0.5], ["feature"], groups=[(c,) for c in columns])
+    long = long_values(df, columns)
+    res = exact_quantiles(long, "value", [0.5], ["feature"], groups=[(c,) for c in columns], stats=stats)
     got = {r["feature"]: r["value"] for r in res.collect()}
     return {c: float(got[c]) if got.get(c) is not None else 0.0 for c in columns}
 

@@ -68,11 +68,13 @@ def kth_smallest(
     bins: int = 2048,
     final_rows: int = 50_000,
     max_levels: int = 12,
+    start: dict | None = None,
 ) -> tuple[DataFrame, dict[int, tuple[tuple, int]]]:
     """Rows of rank ``k`` (1-based) in ``(value, tie_cols)`` order within each group.
 
     ``targets`` lists ``(group_key, k)``. Returns a DataFrame ``(__tid, value, *tie_cols)`` and
-    a map ``tid -> (group_key, k)``. Targets with k outside 1..n are left out.
+    a map ``tid -> (group_key, k)``. Targets with k outside 1..n are left out. ``start`` may
+    give, per ``(group_key, k)``, an already narrowed window ``(lo, hi, below, n_in)``.
     """
     spark = df.sparkSession
     group_cols = list(group_cols)
@@ -89,7 +91,11 @@ def kth_smallest(
             continue
         n, lo, hi = stats[gk]
         if 1 <= k <= n:
-            state.append(_Target(len(state), gk, int(k), lo, hi, 0, n))
+            if start and (gk, k) in start:
+                lo, hi, below, n_in = start[(gk, k)]
+                state.append(_Target(len(state), gk, int(k), lo, hi, below, n_in))
+            else:
+                state.append(_Target(len(state), gk, int(k), lo, hi, 0, n))
     tid_map = {t.tid: (t.group, t.k) for t in state}
 
     group_fields = [df.schema[g] for g in group_cols]
@@ -195,7 +201,7 @@ def exact_quantiles(
     """
     spark = df.sparkSession
     group_cols = list(group_cols)
-    stats = group_counts(df, value_col, group_cols)
+    stats = kwargs.pop("stats", None) or group_counts(df, value_col, group_cols)
     wanted = groups if groups is not None else list(stats)
     targets: list[tuple[tuple, int]] = []
     plan: list[tuple[tuple, float, int, int, float]] = []
@@ -234,6 +240,39 @@ def exact_quantiles(
     return res.select(*[F.col(f"__g{i}").alias(g) for i, g in enumerate(group_cols)], "q", value.alias("value"))
 
 
+def prefix_histogram(df: DataFrame, value_col: str, group_cols, shift: int) -> dict:
+    """One aggregate pass: per group, count/min/max of ``value >> shift`` buckets.
+
+    For values with a known non-negative range (md5 prefixes) this is both the group count
+    pass and the first refinement level. Output is bounded by groups x 2^(bits - shift).
+    """
+    b = F.shiftright(F.col(value_col), shift).alias("__b")
+    rows = df.groupBy(*group_cols, b).agg(
+        F.count(F.lit(1)).alias("c"), F.min(value_col).alias("lo"), F.max(value_col).alias("hi")
+    ).collect()
+    out: dict = {}
+    for r in rows:
+        out.setdefault(_group_key(r, group_cols), []).append((r["__b"], r["c"], r["lo"], r["hi"]))
+    for v in out.values():
+        v.sort()
+    return out
+
+
+def start_from_histogram(hist: dict, targets: list[tuple[tuple, int]]) -> tuple[dict, dict]:
+    """Group stats and narrowed start windows for ``kth_smallest`` from a prefix histogram."""
+    stats, start = {}, {}
+    for gk, buckets in hist.items():
+        stats[gk] = (sum(c for _b, c, _l, _h in buckets), buckets[0][2], buckets[-1][3])
+    for gk, k in targets:
+        below = 0
+        for _b, c, lo, hi in hist.get(gk, []):
+            if below + c >= k:
+                start[(gk, k)] = (lo, hi, below, c)
+                break
+            below += c
+    return stats, start
+
+
 def rank_cut(
     df: DataFrame,
     order_col: str,

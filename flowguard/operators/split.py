@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowguard.functions.columns import md5_order_key, md5_prefix_long
-from flowguard.operators.order_stats import group_counts, rank_cut, within_cut
+from flowguard.operators.order_stats import prefix_histogram, rank_cut, start_from_histogram, within_cut
 
 _OK = "__order_md5"
 _OKH = "__order_h"
@@ -54,11 +54,17 @@ def stratified_split(
     passes and the final labelling.
     """
     d = df.withColumn(_OK, md5_order_key(key_col, seed)).withColumn(_OKH, md5_prefix_long(_OK))
-    stats = group_counts(d, _OKH, [strata_col])
-    counts = {gk: v[0] for gk, v in stats.items()}
+    # One pass gives the stratum sizes and the first refinement level: the md5 prefix is a
+    # uniform 60-bit number, so its top 12 bits make 4096 even buckets.
+    hist = prefix_histogram(d, _OKH, [strata_col], 48)
+    counts = {gk: sum(c for _b, c, _l, _h in v) for gk, v in hist.items()}
     quotas = allocate_test_quota(counts, test_share)
-    cut = rank_cut(d, _OKH, _OK, quotas, [strata_col], stats=stats)
-    # One row per stratum: a proven bound, so the broadcast is safe at any scale.
+    targets = [(gk, q) for gk, q in quotas.items() if q > 0]
+    stats, start = start_from_histogram(hist, targets)
+    cut = rank_cut(d, _OKH, _OK, quotas, [strata_col], stats=stats, start=start)
+    # One row per stratum: a proven bound. Collected once so later reads of the split do not
+    # re-run the last refinement pass, then broadcast.
+    cut = d.sparkSession.createDataFrame(cut.collect(), cut.schema)
     labelled = d.join(F.broadcast(cut), [strata_col], "left")
     is_test = within_cut(F.col(_OKH), F.col(_OK))
     return labelled.withColumn(
