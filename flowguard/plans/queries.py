@@ -387,6 +387,72 @@ def q_m14_threshold_analysis(spark, sf_dir):
     return _round_all(t, ["model", "strategy_order", "strategy", "tn", "fp", "fn", "tp"])
 
 
+# ---------------------------------------------------------------- learned models (rows-only checks)
+def _prepared(spark, sf_dir, source=flows_lineitem):
+    out, fit = prepare_flows(source(spark, sf_dir), key_col="Flow ID")
+    return out.cache(), fit
+
+
+def q_m1_random_forest(spark, sf_dir):
+    from flowguard.operators import models
+
+    prep, fit = _prepared(spark, sf_dir, flows_events)
+    return models.train_random_forest(prep, fit.feature_names).metrics
+
+
+def q_t1_feature_importance(spark, sf_dir):
+    from flowguard.operators import models
+
+    prep, fit = _prepared(spark, sf_dir, flows_events)
+    return models.top_importances(models.train_random_forest(prep, fit.feature_names).importances)
+
+
+def q_m2_mlp(spark, sf_dir):
+    from flowguard.operators import models
+
+    prep, fit = _prepared(spark, sf_dir, flows_events)
+    return models.train_mlp(prep, fit.feature_names).metrics
+
+
+def _metric_frame(spark, m: dict) -> DataFrame:
+    from flowguard.plans.experiment import METRIC_SCHEMA, metric_row
+
+    return spark.createDataFrame([metric_row(m, "main", 0)], METRIC_SCHEMA)
+
+
+def q_m6_vanilla_autoencoder(spark, sf_dir):
+    from flowguard.plans.experiment import run_vanilla_autoencoder
+
+    prep, fit = _prepared(spark, sf_dir)
+    return _metric_frame(spark, run_vanilla_autoencoder(prep, fit.feature_names, epochs=10, tables=False).metrics)
+
+
+def q_m5_masked_transformer_autoencoder(spark, sf_dir):
+    from flowguard.plans.experiment import run_transformer_autoencoder
+
+    prep, fit = _prepared(spark, sf_dir, flows_events)
+    res = run_transformer_autoencoder(prep, fit.feature_names, mask_ratio=0.15, epochs=10, tables=False)
+    return _metric_frame(spark, res.metrics)
+
+
+def q_m16_mask_ratio_ablation(spark, sf_dir):
+    from flowguard.plans.experiment import mask_ratio_ablation
+
+    prep, fit = _prepared(spark, sf_dir, flows_events)
+    return mask_ratio_ablation(prep, fit.feature_names, "0,0.15,0.3,0.45", epochs=6)
+
+
+def q_m7_linear_reconstruction(spark, sf_dir):
+    from flowguard.operators.autoenc import linear_reconstruction_score
+
+    p = q_m20_prepare(spark, sf_dir).cache()
+    feats = [c for c in p.columns if c not in ("row_key", "split", "y", "label_raw")]
+    ben = p.where((F.col("split") == "train") & (F.col("y") == 0))
+    row = ben.agg(*[F.avg(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(feats)]).collect()[0]
+    centre = {c: row[f"c{i}"] for i, c in enumerate(feats)}
+    return linear_reconstruction_score(p, feats, centre).select("row_key", "split", "y", r6("score").alias("score"))
+
+
 REGISTRY = {
     "p5_to_number": q_p5_to_number,
     "p8_binary_label": q_p8_binary_label,
@@ -429,4 +495,11 @@ REGISTRY = {
     "m10_orient": q_m10_orient,
     "m11_m13_thresholds": q_m11_m13_thresholds,
     "m14_threshold_analysis": q_m14_threshold_analysis,
+    "m7_linear_reconstruction": q_m7_linear_reconstruction,
+    "m1_random_forest": q_m1_random_forest,
+    "t1_feature_importance": q_t1_feature_importance,
+    "m2_mlp": q_m2_mlp,
+    "m6_vanilla_autoencoder": q_m6_vanilla_autoencoder,
+    "m5_masked_transformer_autoencoder": q_m5_masked_transformer_autoencoder,
+    "m16_mask_ratio_ablation": q_m16_mask_ratio_ablation,
 }

@@ -610,6 +610,17 @@ FROM cm, auc
 """
 
 
+def m7_sql() -> str:
+    feats = LI_FEATURES + GRAPH
+    centre = ", ".join(f"avg({q(f)}) AS {q('c_' + f)}" for f in feats)
+    sq = " + ".join(f"({q(f)} - {q('c_' + f)}) * ({q(f)} - {q('c_' + f)})" for f in feats)
+    return f"""
+WITH p AS ({m20_sql()}),
+c AS (SELECT {centre} FROM p WHERE split = 'train' AND y = 0)
+SELECT row_key, split, y, {r6(f'({sq}) / {float(len(feats))!r}')} AS score FROM p, c
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p5_to_number": P5_SQL,
@@ -653,4 +664,5 @@ def oracle_sql() -> dict[str, str]:
         "m10_orient": M10_SQL,
         "m11_m13_thresholds": M11_SQL,
         "m14_threshold_analysis": M14_SQL,
+        "m7_linear_reconstruction": m7_sql(),
     }
