@@ -57,6 +57,7 @@ class GraphLookups:
     dport: DataFrame | None = None      # (K_DPORT, graph_dst_port_count)
     src_dport: DataFrame | None = None  # (K_SRC, K_DPORT, graph_src_dst_port_count)
     sport: DataFrame | None = None      # (K_SPORT, graph_src_port_count)
+    sizes: dict | None = None           # rows per table, measured when fitted
 
     @property
     def feature_names(self) -> list[str]:
@@ -66,24 +67,54 @@ class GraphLookups:
         """(lookup, join keys, value columns) in feature order."""
         out = []
         if self.src is not None:
-            out.append((self.src, [K_SRC], ["graph_src_out_count", "graph_src_unique_dst"]))
-            out.append((self.dst, [K_DST], ["graph_dst_in_count", "graph_dst_unique_src"]))
-            out.append((self.edge, [K_SRC, K_DST], ["graph_edge_count"]))
+            out.append(("src", self.src, [K_SRC], ["graph_src_out_count", "graph_src_unique_dst"]))
+            out.append(("dst", self.dst, [K_DST], ["graph_dst_in_count", "graph_dst_unique_src"]))
+            out.append(("edge", self.edge, [K_SRC, K_DST], ["graph_edge_count"]))
         if self.dport is not None:
-            out.append((self.dport, [K_DPORT], ["graph_dst_port_count"]))
+            out.append(("dport", self.dport, [K_DPORT], ["graph_dst_port_count"]))
         if self.src_dport is not None:
-            out.append((self.src_dport, [K_SRC, K_DPORT], ["graph_src_dst_port_count"]))
+            out.append(("src_dport", self.src_dport, [K_SRC, K_DPORT], ["graph_src_dst_port_count"]))
         if self.sport is not None:
-            out.append((self.sport, [K_SPORT], ["graph_src_port_count"]))
+            out.append(("sport", self.sport, [K_SPORT], ["graph_src_port_count"]))
         return out
 
 
-def fit_graph(train: DataFrame, schema: FlowSchema) -> GraphLookups:
-    """A1 + A2: count tables over the (training) rows."""
+def fit_graph(train: DataFrame, schema: FlowSchema, persist: str = "cache", count_sizes: bool = True) -> GraphLookups:
+    """A1 + A2: count tables over the (training) rows.
+
+    One grouping-sets aggregate (one shuffle, partial aggregation first) gives the edge,
+    destination-port, (source, destination-port) and source-port counts; the host tables are
+    roll-ups of the edge table (``sum`` = out/in count, ``count`` = distinct neighbours). The
+    tables are the fitted state, so they are kept (``persist``) and their row counts recorded
+    for the join strategy in :func:`apply_graph`.
+    """
+    from flowguard.session import materialize
+
     k = with_graph_keys(train, schema)
     g = GraphLookups(schema)
+    sets, names = [], []
     if schema.src_ip and schema.dst_ip:
-        edge = k.groupBy(K_SRC, K_DST).agg(F.count(F.lit(1)).alias("graph_edge_count"))
+        sets.append([K_SRC, K_DST]); names.append("edge")
+    if schema.dst_port:
+        sets.append([K_DPORT]); names.append("dport")
+    if schema.src_ip and schema.dst_port:
+        sets.append([K_SRC, K_DPORT]); names.append("src_dport")
+    if schema.src_port:
+        sets.append([K_SPORT]); names.append("sport")
+    if not sets:
+        return g
+    cols = sorted({c for st in sets for c in st})
+    counts = k.groupingSets([[F.col(c) for c in st] for st in sets], *[F.col(c) for c in cols]).agg(
+        F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid")
+    )
+    counts = materialize(counts, persist)
+
+    def gid_of(st):
+        return sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in st)
+
+    parts = {nm: counts.where(F.col("gid") == gid_of(st)).select(*st, "n") for nm, st in zip(names, sets)}
+    if "edge" in parts:
+        edge = parts["edge"].withColumnRenamed("n", "graph_edge_count")
         g.edge = edge
         g.src = edge.groupBy(K_SRC).agg(
             F.sum("graph_edge_count").alias("graph_src_out_count"),
@@ -93,12 +124,26 @@ def fit_graph(train: DataFrame, schema: FlowSchema) -> GraphLookups:
             F.sum("graph_edge_count").alias("graph_dst_in_count"),
             F.count(F.lit(1)).alias("graph_dst_unique_src"),
         )
-    if schema.dst_port:
-        g.dport = k.groupBy(K_DPORT).agg(F.count(F.lit(1)).alias("graph_dst_port_count"))
-    if schema.src_ip and schema.dst_port:
-        g.src_dport = k.groupBy(K_SRC, K_DPORT).agg(F.count(F.lit(1)).alias("graph_src_dst_port_count"))
-    if schema.src_port:
-        g.sport = k.groupBy(K_SPORT).agg(F.count(F.lit(1)).alias("graph_src_port_count"))
+    if "dport" in parts:
+        g.dport = parts["dport"].withColumnRenamed("n", "graph_dst_port_count")
+    if "src_dport" in parts:
+        g.src_dport = parts["src_dport"].withColumnRenamed("n", "graph_src_dst_port_count")
+    if "sport" in parts:
+        g.sport = parts["sport"].withColumnRenamed("n", "graph_src_port_count")
+    if count_sizes:
+        # One job over the kept aggregate: exact rows per table, and for the host roll-ups an
+        # HLL estimate with a 10% margin (never above the exact edge count, a hard bound).
+        agg = counts.groupBy("gid").agg(
+            F.count(F.lit(1)).alias("c"),
+            *([F.approx_count_distinct(K_SRC, 0.02).alias("us"), F.approx_count_distinct(K_DST, 0.02).alias("ud")]
+              if "edge" in parts else []),
+        ).collect()
+        by_gid = {r["gid"]: r for r in agg}
+        g.sizes = {nm: int(by_gid[gid_of(st)]["c"]) if gid_of(st) in by_gid else 0 for nm, st in zip(names, sets)}
+        if "edge" in parts and gid_of(sets[0]) in by_gid:
+            r = by_gid[gid_of(sets[0])]
+            g.sizes["src"] = min(g.sizes["edge"], int(r["us"] * 1.1) + 1)
+            g.sizes["dst"] = min(g.sizes["edge"], int(r["ud"] * 1.1) + 1)
     return g
 
 
@@ -107,10 +152,19 @@ def graph_key_columns(df: DataFrame) -> list[str]:
 
 
 def apply_graph(df: DataFrame, lookups: GraphLookups, log1p: bool = True) -> DataFrame:
-    """J1-J8 + P12: left-join the count tables; unseen keys count 0; ``log1p`` of the counts."""
+    """J1-J8 + P12: left-join the count tables; unseen keys count 0; ``log1p`` of the counts.
+
+    A table whose measured row count is at most ``flowguard.graph.broadcastMaxRows`` (default
+    2,000,000) is broadcast, so the flow rows are not shuffled for it; a larger one is a
+    sort-merge join, where AQE splits a hot key on the flow side.
+    """
+    from flowguard.session import row_cap_for_broadcast
+
+    cap = row_cap_for_broadcast(df.sparkSession, "flowguard.graph.broadcastMaxRows", 2_000_000)
     k = with_graph_keys(df, lookups.schema)
-    for table, keys, _values in lookups.tables():
-        k = k.join(table, keys, "left")
+    for name, table, keys, _values in lookups.tables():
+        size = (lookups.sizes or {}).get(name)
+        k = k.join(F.broadcast(table) if size is not None and size <= cap else table, keys, "left")
     names = lookups.feature_names
     vals = {}
     for n in names:

@@ -23,6 +23,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("FLOWGUARD_DRIVER_MEMORY", "16g"))
     )
+    event_dir = os.environ.get("FLOWGUARD_EVENT_LOG_DIR")
+    if event_dir:  # stage/task times for profiling, written to a scratch folder
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -62,6 +65,6 @@ def materialize(df: DataFrame, how: str = "cache") -> DataFrame:
     raise ValueError(f"unknown materialize mode: {how}")
 
 
-def row_cap_for_broadcast(spark: SparkSession) -> int:
-    """Rows a small side may have to be broadcast by hint (bounded side tables only)."""
-    return int(spark.conf.get("flowguard.broadcast.maxRows", "1000000"))
+def row_cap_for_broadcast(spark: SparkSession, key: str = "flowguard.broadcast.maxRows", default: int = 1_000_000) -> int:
+    """Row count up to which a measured side table is broadcast by hint."""
+    return int(spark.conf.get(key, str(default)))
