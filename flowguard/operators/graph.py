@@ -17,10 +17,10 @@ Plan: one shuffle builds the edge table ``(src, dst, n)``; the source and destin
 tables are roll-ups of it (``sum(n)`` = out/in count, ``count(*)`` = distinct neighbours), so
 the three host counts share one exchange of the raw rows. Partial aggregation runs before
 every shuffle, so a host that sends a third of all flows is a single partial row per map
-task. Lookups are joined left with ``coalesce(n, 0)`` (an unseen key counts 0). Join
-strategy is left to AQE: a lookup whose runtime size is under the broadcast threshold is
-broadcast, a larger one is sort-merge joined, and a hot key on the flow side is split by
-AQE's skew-join handling.
+task. Lookups are joined left with ``coalesce(n, 0)`` (an unseen key counts 0). The count
+tables are measured when fitted: one under a row cap is broadcast; a larger one is
+sort-merge joined with its hot keys (known exactly from the counts) broadcast and the flow
+rows of those keys salted, so no hot key lands in a single task.
 """
 
 from __future__ import annotations
@@ -151,20 +151,47 @@ def graph_key_columns(df: DataFrame) -> list[str]:
     return [c for c in (K_SRC, K_DST, K_SPORT, K_DPORT) if c in df.columns]
 
 
+def _salted_left_join(k: DataFrame, table: DataFrame, keys: list[str], values: list[str], count_col: str,
+                      hot_rows: int, salts: int) -> DataFrame:
+    """Left join of a large count table with hot keys split off.
+
+    Keys whose count reaches ``hot_rows`` are at most ``train_rows / hot_rows`` rows (a proven
+    bound), so they are broadcast. The other keys are sort-merge joined on ``(keys, salt)``:
+    flow rows of a hot key get a salt in ``1..salts`` (they have no partner on that side and
+    are spread over ``salts`` partitions instead of one), every other row salt 0.
+    """
+    hot = table.where(F.col(count_col) >= hot_rows).select(*keys, *[F.col(v).alias(f"__hot_{v}") for v in values])
+    cold = table.where(F.col(count_col) < hot_rows).withColumn("__salt", F.lit(0))
+    k = k.join(F.broadcast(hot), keys, "left")
+    is_hot = F.col(f"__hot_{values[0]}").isNotNull()
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in k.columns]), F.lit(salts)) + 1).otherwise(F.lit(0))
+    k = k.withColumn("__salt", salt).join(cold, [*keys, "__salt"], "left")
+    k = k.withColumns({v: F.coalesce(F.col(f"__hot_{v}"), F.col(v)) for v in values})
+    return k.drop("__salt", *[f"__hot_{v}" for v in values])
+
+
 def apply_graph(df: DataFrame, lookups: GraphLookups, log1p: bool = True) -> DataFrame:
     """J1-J8 + P12: left-join the count tables; unseen keys count 0; ``log1p`` of the counts.
 
     A table whose measured row count is at most ``flowguard.graph.broadcastMaxRows`` (default
-    2,000,000) is broadcast, so the flow rows are not shuffled for it; a larger one is a
-    sort-merge join, where AQE splits a hot key on the flow side.
+    2,000,000) is broadcast, so the flow rows are not shuffled for it. A larger table is
+    sort-merge joined with its hot keys (count >= ``flowguard.skew.hotRows``, default
+    1,000,000 train rows) broadcast and the rest salted (:func:`_salted_left_join`), so a key
+    holding a third of all flows does not end up in one task.
     """
     from flowguard.session import row_cap_for_broadcast
 
-    cap = row_cap_for_broadcast(df.sparkSession, "flowguard.graph.broadcastMaxRows", 2_000_000)
+    spark = df.sparkSession
+    cap = row_cap_for_broadcast(spark, "flowguard.graph.broadcastMaxRows", 2_000_000)
+    hot_rows = row_cap_for_broadcast(spark, "flowguard.skew.hotRows", 1_000_000)
+    salts = row_cap_for_broadcast(spark, "flowguard.skew.salts", 64)
     k = with_graph_keys(df, lookups.schema)
-    for name, table, keys, _values in lookups.tables():
+    for name, table, keys, values in lookups.tables():
         size = (lookups.sizes or {}).get(name)
-        k = k.join(F.broadcast(table) if size is not None and size <= cap else table, keys, "left")
+        if size is not None and size <= cap:
+            k = k.join(F.broadcast(table), keys, "left")
+        else:
+            k = _salted_left_join(k, table, keys, values, values[0], hot_rows, salts)
     names = lookups.feature_names
     vals = {}
     for n in names:

@@ -32,6 +32,13 @@ def find_csv_files(spark: SparkSession, data_dir: str) -> DataFrame:
     return listing.orderBy("path")
 
 
+def csv_file_table(spark: SparkSession, data_dir: str) -> DataFrame:
+    """S1 + P24: the listing with human-readable sizes, as the quality report shows it."""
+    from flowguard.functions.columns import format_bytes
+
+    return find_csv_files(spark, data_dir).select("path", format_bytes(F.col("size")).alias("size"))
+
+
 def file_encoding(spark: SparkSession, path: str) -> str:
     """``UTF-8`` when every line is valid UTF-8, else latin-1.
 

@@ -131,3 +131,27 @@ def test_histogram_of_constant_class_and_no_benign_threshold(spark):
     assert h[(0, 17)]["count"] == 2 and h[(0, 0)]["bin_lo"] == 1.5 and h[(1, 34)]["count"] == 1
     attacks = spark.createDataFrame([(1, float(i)) for i in range(1, 6)], "y INT, score DOUBLE")
     assert threshold.normal_quantile_threshold(attacks, q=0.95) == pytest.approx(4.8)
+
+
+def test_graph_join_with_hot_keys_salted_equals_broadcast(spark):
+    from flowguard.operators.graph import apply_graph, fit_graph
+    from flowguard.schema import FlowSchema
+
+    # one source host sends a third of all flows
+    rows = [("10.0.0.1" if i % 3 == 0 else f"10.0.1.{i % 50}", f"192.168.0.{i % 7}", i % 5, 80 + i % 4, "BENIGN") for i in range(3000)]
+    df = spark.createDataFrame(rows, "`Source IP` STRING, `Destination IP` STRING, `Source Port` BIGINT, `Destination Port` BIGINT, Label STRING")
+    schema = FlowSchema.resolve(df.columns)
+    g = fit_graph(df, schema)
+    names = schema.graph_feature_names
+    want = sorted(tuple(r) for r in apply_graph(df, g).select(*names).collect())
+    try:
+        spark.conf.set("flowguard.graph.broadcastMaxRows", "0")
+        spark.conf.set("flowguard.skew.hotRows", "500")
+        salted = apply_graph(df, g)
+        plan = salted._jdf.queryExecution().executedPlan().toString()
+        got = sorted(tuple(r) for r in salted.select(*names).collect())
+    finally:
+        spark.conf.unset("flowguard.graph.broadcastMaxRows")
+        spark.conf.unset("flowguard.skew.hotRows")
+    assert got == want
+    assert "__salt" in plan
