@@ -43,7 +43,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="flowguard-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3) before checkpointing")
+        configured = tempfile.mkdtemp(prefix="flowguard-ckpt-")  # local mode (tests) only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
