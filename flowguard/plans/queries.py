@@ -21,6 +21,7 @@ from flowguard.functions.columns import (
 from flowguard.operators import clean, graph, metrics, quality, split, threshold
 from flowguard.plans.prepare import prepare_flows
 from flowguard.schema import FlowSchema
+from flowguard.session import materialize
 from flowguard.sources.tables import (
     flows_events,
     flows_lineitem,
@@ -46,7 +47,7 @@ def _labelled_lineitem(spark, sf_dir) -> DataFrame:
 
 
 def _split_scored_lineitem(spark, sf_dir) -> DataFrame:
-    s = scored_lineitem(spark, sf_dir).cache()
+    s = materialize(scored_lineitem(spark, sf_dir))
     return split.stratified_split(s, "key", "y", 0.25, 42)
 
 
@@ -128,7 +129,7 @@ def q_a4_duplicate_rows(spark, sf_dir):
 
 def q_a5_medians(spark, sf_dir):
     f = flows_lineitem(spark, sf_dir)
-    num = clean.numeric_frame(f, LINEITEM_FEATURES).cache()
+    num = materialize(clean.numeric_frame(f, LINEITEM_FEATURES))
     med = clean.column_medians(num, LINEITEM_FEATURES)
     rows = [(k, float(v)) for k, v in med.items()]
     return spark.createDataFrame(rows, "feature STRING, median DOUBLE").select("feature", r6("median").alias("median"))
@@ -188,7 +189,7 @@ def q_a1_port_counts(spark, sf_dir):
 
 
 def q_j_graph_lookup(spark, sf_dir):
-    f = _labelled_lineitem(spark, sf_dir).cache()
+    f = materialize(_labelled_lineitem(spark, sf_dir))
     s = split.stratified_split(f, "Flow ID", "y", 0.25, 42)
     schema = FlowSchema.resolve(f.columns)
     g = graph.fit_graph(s.where(F.col("split") == "train"), schema)
@@ -205,15 +206,15 @@ def q_w3_in_sample_graph(spark, sf_dir):
 
 # ---------------------------------------------------------------- split
 def q_w4_split(spark, sf_dir):
-    f = _labelled_lineitem(spark, sf_dir).select("Flow ID", "y").cache()
+    f = materialize(_labelled_lineitem(spark, sf_dir).select("Flow ID", "y"))
     s = split.stratified_split(f, "Flow ID", "y", 0.25, 42)
     return s.select(F.col("Flow ID").alias("flow_id"), "y", "split")
 
 
 def q_w5_fit_valid_split(spark, sf_dir):
-    f = _labelled_lineitem(spark, sf_dir).select("Flow ID", "y").cache()
+    f = materialize(_labelled_lineitem(spark, sf_dir).select("Flow ID", "y"))
     s = split.stratified_split(f, "Flow ID", "y", 0.25, 42)
-    train = s.where(F.col("split") == "train").cache()
+    train = materialize(s.where(F.col("split") == "train"))
     v = split.fit_validation_split(train, "Flow ID", "y", 0.2, 42)
     return v.select(F.col("Flow ID").alias("flow_id"), "y", "fit_split")
 
@@ -356,12 +357,12 @@ def q_w2_roc_curve(spark, sf_dir):
 
 # ---------------------------------------------------------------- thresholds
 def _valid_test(spark, sf_dir):
-    s = _split_scored_lineitem(spark, sf_dir).cache()
+    s = materialize(_split_scored_lineitem(spark, sf_dir))
     return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
 
 
 def q_m10_orient(spark, sf_dir):
-    d = scored_documents(spark, sf_dir).cache()
+    d = materialize(scored_documents(spark, sf_dir))
     s = split.stratified_split(d, "key", "y", 0.25, 42)
     valid = s.where(F.col("split") == "train").withColumn("score", -F.col("score"))
     inverted, auc = threshold.orient_scores(valid)
@@ -390,7 +391,7 @@ def q_m14_threshold_analysis(spark, sf_dir):
 # ---------------------------------------------------------------- learned models (rows-only checks)
 def _prepared(spark, sf_dir, source=flows_lineitem):
     out, fit = prepare_flows(source(spark, sf_dir), key_col="Flow ID")
-    return out.cache(), fit
+    return materialize(out), fit
 
 
 def q_m1_random_forest(spark, sf_dir):
@@ -445,7 +446,7 @@ def q_m16_mask_ratio_ablation(spark, sf_dir):
 def q_m7_linear_reconstruction(spark, sf_dir):
     from flowguard.operators.autoenc import linear_reconstruction_score
 
-    p = q_m20_prepare(spark, sf_dir).cache()
+    p = materialize(q_m20_prepare(spark, sf_dir))
     feats = [c for c in p.columns if c not in ("row_key", "split", "y", "label_raw")]
     ben = p.where((F.col("split") == "train") & (F.col("y") == 0))
     row = ben.agg(*[F.avg(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(feats)]).collect()[0]

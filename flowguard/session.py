@@ -58,7 +58,7 @@ def materialize(df: DataFrame, how: str = "cache") -> DataFrame:
     ``none``: recompute each time.
     """
     if how == "cache":
-        return df.persist()
+        return spread(df).persist()
     if how == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
@@ -67,6 +67,21 @@ def materialize(df: DataFrame, how: str = "cache") -> DataFrame:
     raise ValueError(f"unknown materialize mode: {how}")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a DataFrame at least the default parallelism before it is kept and reread.
+
+    A small input (a file of a few row groups) would otherwise run every later stage on a
+    few cores. At cluster scale inputs have far more partitions than cores, so this is a
+    no-op there.
+    """
+    sc = df.sparkSession.sparkContext
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan or "AdaptiveSparkPlan" in plan:
+        return df  # after a shuffle AQE already sizes the partitions; asking would run it
+    n = df.rdd.getNumPartitions()  # scan-only plan: file splits, no job
+    return df.repartition(sc.defaultParallelism) if n < sc.defaultParallelism else df
+
+
 def row_cap_for_broadcast(spark: SparkSession, key: str = "flowguard.broadcast.maxRows", default: int = 1_000_000) -> int:
     """Row count up to which a measured side table is broadcast by hint."""
     return int(spark.conf.get(key, str(default)))
