@@ -268,6 +268,37 @@ def q_a14_dataset_summary(spark, sf_dir):
     )
 
 
+def q_a7_label_summary(spark, sf_dir):
+    f = flows_events(spark, sf_dir).withColumn("y", binary_label(F.col("Label")))
+    return quality.label_summary(f)
+
+
+def q_a13_attack_labels(spark, sf_dir):
+    f = flows_lineitem(spark, sf_dir)
+    att = f.where(binary_label(F.col("Label")) == 1)
+    top = quality.top_counts(att, F.col("Label"), quality.TOP_K_ATTACK_LABELS, "label")
+    exact = att.agg(F.count_distinct(label_text(F.col("Label"))).alias("attack_type_count_exact"))
+    return metrics.attach_one_row(top, exact)
+
+
+def q_a12_attack_ratio(spark, sf_dir):
+    f = flows_events(spark, sf_dir)
+    return f.agg(r6(F.avg(binary_label(F.col("Label")))).alias("binary_attack_ratio"))
+
+
+def q_p22_p23_formats(spark, sf_dir):
+    from flowguard.functions.columns import safe_name
+
+    s = scored_lineitem(spark, sf_dir).withColumn("pred", predict("score", CUT))
+    m = metrics.confusion_counts(s, group_cols=["raw_label"])
+    mc = metrics.metric_columns(F.col("tn"), F.col("fp"), F.col("fn"), F.col("tp"))
+    name = F.concat(F.col("raw_label"), F.lit(" Model/v1"))
+    return m.select(
+        safe_name(name).alias("file_tag"),
+        *[format_number4(v).alias(k) for k, v in mc.items()],
+    )
+
+
 def q_c1_label_distribution(spark, sf_dir):
     s = _split_scored_lineitem(spark, sf_dir)
     return metrics.label_distribution(s)
@@ -482,6 +513,10 @@ REGISTRY = {
     "p26_recommendations": q_p26_recommendations,
     "a14_dataset_summary": q_a14_dataset_summary,
     "c1_label_distribution": q_c1_label_distribution,
+    "a7_label_summary": q_a7_label_summary,
+    "a13_attack_labels": q_a13_attack_labels,
+    "a12_attack_ratio": q_a12_attack_ratio,
+    "p22_p23_formats": q_p22_p23_formats,
     "a16_confusion": q_a16_confusion,
     "a17_metrics": q_a17_metrics,
     "a18_roc_auc": q_a18_roc_auc,

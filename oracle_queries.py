@@ -621,6 +621,44 @@ SELECT row_key, split, y, {r6(f'({sq}) / {float(len(feats))!r}')} AS score FROM
 """
 
 
+A7_SQL = f"""
+WITH {FLOWS_EVENTS}
+SELECT count_if({y_of('"Label"')} = 0) AS BENIGN, count_if({y_of('"Label"')} = 1) AS Attack FROM flows_events
+"""
+
+A13_SQL = f"""
+WITH {FLOWS_LINEITEM},
+att AS (SELECT * FROM flows_lineitem WHERE {y_of('"Label"')} = 1),
+top AS (SELECT trim(coalesce("Label", 'nan')) AS label, count(*) AS count FROM att GROUP BY 1 ORDER BY count DESC, label ASC LIMIT 20),
+ex AS (SELECT count(DISTINCT coalesce(trim("Label"), 'nan')) AS attack_type_count_exact FROM att)
+SELECT label, count, attack_type_count_exact FROM top, ex
+"""
+
+A12_SQL = f"""
+WITH {FLOWS_EVENTS}
+SELECT {r6(f'avg({y_of(chr(34) + "Label" + chr(34))})')} AS binary_attack_ratio FROM flows_events
+"""
+
+
+def _fmt4(expr: str) -> str:
+    return f"(CASE WHEN ({expr}) IS NULL OR isnan({expr}) THEN '' ELSE printf('%.4f', {expr}) END)"
+
+
+def p22_sql() -> str:
+    items = {
+        "accuracy": sdiv("tp + tn", "tp + tn + fp + fn"),
+        "precision": sdiv("tp", "tp + fp"),
+        "recall": sdiv("tp", "tp + fn"),
+        "f1": sdiv("2 * tp", "2 * tp + fp + fn"),
+    }
+    cols = ", ".join(f"{_fmt4(v)} AS {k}" for k, v in items.items())
+    return CONF + f""",
+cm AS (SELECT raw_label, count_if(y = 0 AND pred = 0) AS tn, count_if(y = 0 AND pred = 1) AS fp,
+              count_if(y = 1 AND pred = 0) AS fn, count_if(y = 1 AND pred = 1) AS tp FROM p GROUP BY raw_label)
+SELECT translate(lower(raw_label || ' Model/v1'), ' /', '__') AS file_tag, {cols} FROM cm
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p5_to_number": P5_SQL,
@@ -650,6 +688,10 @@ def oracle_sql() -> dict[str, str]:
         "p26_recommendations": P26_SQL,
         "a14_dataset_summary": A14_SQL,
         "c1_label_distribution": C1_SQL,
+        "a7_label_summary": A7_SQL,
+        "a13_attack_labels": A13_SQL,
+        "a12_attack_ratio": A12_SQL,
+        "p22_p23_formats": p22_sql(),
         "a16_confusion": A16_SQL,
         "a17_metrics": A17_SQL,
         "a18_roc_auc": A18_SQL,
