@@ -218,26 +218,17 @@ def exact_quantiles(
             targets += [(gk, k_lo), (gk, k_hi)]
             plan.append((gk, float(p), k_lo, k_hi, frac))
     vals, tid_map = kth_smallest(df, value_col, sorted(set(targets)), group_cols, stats=stats, **kwargs)
-    value_type = T.DoubleType()
-    tid_schema = T.StructType(
-        [T.StructField(_TID, T.IntegerType(), False)]
-        + [T.StructField(f"__g{i}", df.schema[g].dataType, True) for i, g in enumerate(group_cols)]
-        + [T.StructField("__k", T.LongType(), False)]
-    )
-    tids = spark.createDataFrame([(tid, *gk, k) for tid, (gk, k) in tid_map.items()], tid_schema)
-    plan_schema = T.StructType(
-        [T.StructField(f"__g{i}", df.schema[g].dataType, True) for i, g in enumerate(group_cols)]
-        + [T.StructField("q", T.DoubleType(), False), T.StructField("__klo", T.LongType(), False),
-           T.StructField("__khi", T.LongType(), False), T.StructField("__frac", value_type, False)]
+    # One value per target (bounded by groups x probabilities): interpolate on the driver.
+    got = {tid_map[r[_TID]]: r["value"] for r in vals.collect()}
+    rows = []
+    for gk, p, klo, khi, frac in plan:
+        lo, hi = float(got[(gk, klo)]), float(got[(gk, khi)])
+        rows.append((*gk, p, lo + (hi - lo) * frac))
+    schema = T.StructType(
+        [T.StructField(g, df.schema[g].dataType, True) for g in group_cols]
+        + [T.StructField("q", T.DoubleType(), False), T.StructField("value", T.DoubleType(), True)]
     )
-    plan_df = spark.createDataFrame([(*gk, p, klo, khi, fr) for gk, p, klo, khi, fr in plan], plan_schema)
-    kv = vals.join(tids, _TID).select(*[f"__g{i}" for i in range(len(group_cols))], "__k", F.col("value").cast("double").alias("v"))
-    gcols = [f"__g{i}" for i in range(len(group_cols))]
-    lo_side = kv.withColumnRenamed("__k", "__klo").withColumnRenamed("v", "__vlo")
-    hi_side = kv.withColumnRenamed("__k", "__khi").withColumnRenamed("v", "__vhi")
-    res = plan_df.join(lo_side, gcols + ["__klo"]).join(hi_side, gcols + ["__khi"])
-    value = F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.col("__frac")
-    return res.select(*[F.col(f"__g{i}").alias(g) for i, g in enumerate(group_cols)], "q", value.alias("value"))
+    return spark.createDataFrame(rows, schema)
 
 
 def prefix_histogram(df: DataFrame, value_col: str, group_cols, shift: int) -> dict:
