@@ -26,6 +26,31 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def canonical_numbers(df: DataFrame, exclude=()) -> DataFrame:
+    """Q21: text columns whose every value is number text get one spelling per number.
+
+    A CSV read as text keeps ``1`` and ``1.0`` apart, while a parsed numeric column makes them
+    equal (for dedup and for port keys). One aggregate finds the text columns that are wholly
+    numeric; their values are rewritten as the text of the parsed DOUBLE. Typed columns and
+    ``exclude`` (the label) are left alone.
+    """
+    from pyspark.sql.types import StringType
+
+    from flowguard.functions.columns import NUMBER_PATTERN
+
+    cols = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType) and f.name not in exclude]
+    if not cols:
+        return df
+    row = df.agg(*[
+        F.count_if(F.col(f"`{c}`").isNotNull() & ~F.col(f"`{c}`").rlike(NUMBER_PATTERN)).alias(f"b{i}")
+        for i, c in enumerate(cols)
+    ]).collect()[0]
+    numeric = [c for i, c in enumerate(cols) if row[f"b{i}"] == 0]
+    if not numeric:
+        return df
+    return df.withColumns({c: F.trim(F.col(f"`{c}`")).try_cast("double").cast("string") for c in numeric})
+
+
 def duplicate_row_count(df: DataFrame) -> DataFrame:
     """A4: rows beyond the first of each set of equal rows (one-row DataFrame)."""
     grouped = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
@@ -57,7 +82,8 @@ def usable_columns(df: DataFrame, columns: list[str]) -> list[str]:
 
 def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
     """(feature, value) rows for the given columns (narrow unpivot)."""
-    return df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]).unpivot([], columns, "feature", "value")
+    cols = [F.col(f"`{c}`").cast("double").alias(c) for c in columns]
+    return df.select(*cols).unpivot([], [F.col(f"`{c}`") for c in columns], "feature", "value")
 
 
 def feature_stats(df: DataFrame, columns: list[str]) -> dict:

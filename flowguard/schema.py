@@ -47,6 +47,21 @@ UNKNOWN_KEY = "unknown"
 SOURCE_FILE_COLUMN = "__source_csv"
 
 
+def dedup_names(raw_names) -> list[str]:
+    """Trim header names; later repeats of a name become ``name.1``, ``name.2``, ..."""
+    seen: dict[str, int] = {}
+    names = []
+    for raw in raw_names:
+        name = ("" if raw is None else str(raw)).strip()
+        if name in seen:
+            seen[name] += 1
+            name = f"{name}.{seen[name]}"
+        else:
+            seen[name] = 0
+        names.append(name)
+    return names
+
+
 def trim_headers(df: DataFrame) -> DataFrame:
     """Strip spaces around header names; later repeats of one name become ``name.1``, ..."""
     seen: dict[str, int] = {}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from flowguard.functions.columns import na_to_null
 from flowguard.operators.split import rows_per_file, seeded_sample
-from flowguard.schema import SOURCE_FILE_COLUMN, trim_headers
+from flowguard.schema import SOURCE_FILE_COLUMN, dedup_names, trim_headers
 
 
 def find_csv_files(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -52,8 +52,16 @@ def file_encoding(spark: SparkSession, path: str) -> str:
 def read_flow_csv(spark: SparkSession, path: str, nrows: int | None = None, encoding: str | None = None) -> DataFrame:
     """One CSV file, header row, all columns as text, NA texts as null, trimmed headers."""
     enc = encoding or file_encoding(spark, path)
-    df = spark.read.option("header", "true").option("encoding", enc).option("inferSchema", "false").csv(path)
-    df = trim_headers(df)
+    reader = spark.read.option("encoding", enc).option("inferSchema", "false")
+    df = reader.option("header", "true").csv(path)
+    # Q20: Spark renames repeated headers by position (' A,B, A' -> ' A0','B',' A2'); take the
+    # raw header line (first row of a header-less read, a one-row job) and name columns the
+    # pandas way: trimmed, later repeats as 'A.1'.
+    first = reader.option("header", "false").csv(path).first()
+    if first is not None and len(first) == len(df.columns):
+        df = df.toDF(*dedup_names(list(first)))
+    else:
+        df = trim_headers(df)
     df = df.select(*[na_to_null(F.col(f"`{c}`")).alias(c) for c in df.columns])
     if nrows is not None:
         df = df.limit(nrows)  # S4: first rows of the file (limit pushed into the scan)

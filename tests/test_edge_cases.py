@@ -155,3 +155,15 @@ def test_graph_join_with_hot_keys_salted_equals_broadcast(spark):
         spark.conf.unset("flowguard.skew.hotRows")
     assert got == want
     assert "__salt" in plan
+
+
+def test_csv_repeated_headers_and_number_spellings_dedup(spark, tmp_path):
+    (tmp_path / "f.csv").write_text(" A,B, A,Label\n1,x,2,BENIGN\n1.0,x,2.00,BENIGN\n3,y,4,DDoS\n")
+    df = load_traffic_csvs(spark, str(tmp_path))
+    assert [c for c in df.columns if c != "__source_csv"] == ["A", "B", "A.1", "Label"]
+    out, fit = prepare_flows(df, fit_scope="all")
+    assert out.count() == 2          # '1,x,2' and '1.0,x,2.00' are one row once parsed
+    from flowguard.operators.quality import inspect_flows
+
+    r = inspect_flows(df).collect()[0]
+    assert r["duplicate_rows"] == 1 and r["benign_samples"] == 1
