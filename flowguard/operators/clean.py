@@ -32,7 +32,7 @@ def canonical_numbers(df: DataFrame, exclude=()) -> DataFrame:
     A CSV read as text keeps ``1`` and ``1.0`` apart, while a parsed numeric column makes them
     equal (for dedup and for port keys). One aggregate finds the text columns that are wholly
     numeric; their values are rewritten as the text of the parsed DOUBLE. Typed columns and
-    ``exclude`` (the label) are left alone.
+    ``exclude`` (label, identity columns, row key) are left alone.
     """
     from pyspark.sql.types import StringType
 
