@@ -231,7 +231,7 @@ def attack_type_metrics(df: DataFrame, label: str = "raw_label", y: str = "y", p
     )
     if model is not None:
         out = out.withColumn("model", F.lit(model))
-    return out
+    return out.orderBy("attack_type")  # T4: attack types in sorted order (a few rows)
 
 
 def label_distribution(df: DataFrame, split: str = "split", y: str = "y") -> DataFrame:
