@@ -94,22 +94,40 @@ def feature_stats(df: DataFrame, columns: list[str]) -> dict:
 
 
 def column_medians(df: DataFrame, columns: list[str], method: str = "exact", accuracy: int = 100_000,
-                   stats: dict | None = None) -> dict[str, float]:
+                   stats: dict | None = None, with_counts: bool = False):
     """A5: median of each column, missing values skipped; an all-missing column gives 0.
 
     ``exact`` unpivots to (feature, value) and finds the two middle values of each feature by
-    histogram refinement (a few aggregate passes, no per-value buffers). ``approx`` is one
-    pass of ``percentile_approx`` with the given accuracy.
+    histogram refinement: the first aggregate gives both the non-null count per column and a
+    log-scale first level, then (usually) one pass over the few rows of the chosen buckets. No
+    per-value buffers. ``approx`` is one pass of ``percentile_approx`` with the given accuracy.
+    With ``with_counts`` the non-null count per column (P7) is returned too.
     """
+    from flowguard.operators.order_stats import quantiles_one_pass_start
+
     if not columns:
-        return {}
+        return ({}, {}) if with_counts else {}
     if method == "approx":
-        row = df.agg(*[F.percentile_approx(F.col(f"`{c}`"), 0.5, accuracy).alias(f"m{i}") for i, c in enumerate(columns)]).collect()[0]
-        return {c: (float(row[f"m{i}"]) if row[f"m{i}"] is not None else 0.0) for i, c in enumerate(columns)}
+        aggs = []
+        for i, c in enumerate(columns):
+            aggs += [F.percentile_approx(F.col(f"`{c}`"), 0.5, accuracy).alias(f"m{i}"), F.count(F.col(f"`{c}`")).alias(f"n{i}")]
+        row = df.agg(*aggs).collect()[0]
+        med = {c: (float(row[f"m{i}"]) if row[f"m{i}"] is not None else 0.0) for i, c in enumerate(columns)}
+        counts = {c: int(row[f"n{i}"]) for i, c in enumerate(columns)}
+        return (med, counts) if with_counts else med
     long = long_values(df, columns)
-    res = exact_quantiles(long, "value", [0.5], ["feature"], groups=[(c,) for c in columns], stats=stats)
-    got = {r["feature"]: r["value"] for r in res.collect()}
-    return {c: float(got[c]) if got.get(c) is not None else 0.0 for c in columns}
+    start = None
+    if stats is None:
+        stats, start, _plan = quantiles_one_pass_start(long, "value", [0.5], ["feature"])
+    present = [(c,) for c in columns if (c,) in stats]
+    got = {}
+    if present:
+        kw = {"start": start} if start is not None else {}
+        res = exact_quantiles(long, "value", [0.5], ["feature"], groups=present, stats=stats, **kw)
+        got = {r["feature"]: r["value"] for r in res.collect()}
+    med = {c: float(got[c]) if got.get(c) is not None else 0.0 for c in columns}
+    counts = {c: int(stats[(c,)][0]) if (c,) in stats else 0 for c in columns}
+    return (med, counts) if with_counts else med
 
 
 def fill_missing(df: DataFrame, medians: dict[str, float]) -> DataFrame:

@@ -201,7 +201,11 @@ def exact_quantiles(
     """
     spark = df.sparkSession
     group_cols = list(group_cols)
-    stats = kwargs.pop("stats", None) or group_counts(df, value_col, group_cols)
+    stats = kwargs.pop("stats", None)
+    start = None
+    if stats is None:
+        # one aggregate: counts per group and the first refinement level together
+        stats, start, _plan = quantiles_one_pass_start(df, value_col, probs, group_cols)
     wanted = groups if groups is not None else list(stats)
     targets: list[tuple[tuple, int]] = []
     plan: list[tuple[tuple, float, int, int, float]] = []
@@ -217,6 +221,8 @@ def exact_quantiles(
             k_hi = min(k_lo + 1, n)
             targets += [(gk, k_lo), (gk, k_hi)]
             plan.append((gk, float(p), k_lo, k_hi, frac))
+    if start is not None:
+        kwargs["start"] = start
     vals, tid_map = kth_smallest(df, value_col, sorted(set(targets)), group_cols, stats=stats, **kwargs)
     # One value per target (bounded by groups x probabilities): interpolate on the driver.
     got = {tid_map[r[_TID]]: r["value"] for r in vals.collect()}
@@ -231,6 +237,58 @@ def exact_quantiles(
     return spark.createDataFrame(rows, schema)
 
 
+def log_bucket(v: Column, sub: int = 16) -> Column:
+    """Order-preserving bucket of a DOUBLE without knowing its range.
+
+    Binade (floor of log2 |v|) times ``sub`` plus the position inside the binade; negative
+    values mirror below zero, zero is bucket 0. Monotone non-decreasing in ``v``.
+    """
+    a = F.abs(v)
+    e = F.floor(F.log2(a))
+    m = a / F.pow(F.lit(2.0), e)
+    b = (e + F.lit(1100)) * F.lit(sub) + F.floor((m - F.lit(1.0)) * F.lit(sub))
+    return (F.when(v == 0, F.lit(0)).when(v > 0, b + 1).otherwise(-(b + 1))).cast("long")
+
+
+def quantiles_one_pass_start(df: DataFrame, value_col: str, probs: list[float], group_cols=(), sub: int = 16):
+    """One aggregate for (a) non-null count per group and (b) the first refinement level.
+
+    Returns ``(stats, start, plan)`` for :func:`kth_smallest` and the interpolation:
+    ``stats[g] = (n, None, None)``, ``start[(g, k)] = (lo, hi, below, n_in)``,
+    ``plan = [(g, q, k_lo, k_hi, frac)]``. Buckets per group are bounded (binades x ``sub``);
+    the cumulative counts are a window per group over its buckets; only the buckets that hold
+    a target rank (groups x targets rows) come back to the driver.
+    """
+    group_cols = list(group_cols)
+    v = F.col(value_col)
+    hist = df.where(v.isNotNull()).groupBy(*group_cols, log_bucket(v, sub).alias("__b")).agg(
+        F.count(F.lit(1)).alias("c"), F.min(v).alias("lo"), F.max(v).alias("hi")
+    )
+    wg = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(1))
+    w = wg.orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = hist.withColumn("cum", F.sum("c").over(w)).withColumn("n", F.sum("c").over(wg.rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)))
+    ks = []
+    for p in probs:
+        pos = F.lit(float(p)) * (F.col("n") - 1)
+        k_lo = F.floor(pos).cast("long") + 1
+        ks += [k_lo, F.least(k_lo + 1, F.col("n"))]
+    hist = hist.withColumn("__k", F.explode(F.array_distinct(F.array(*ks))))
+    rows = hist.where((F.col("cum") - F.col("c") < F.col("__k")) & (F.col("__k") <= F.col("cum"))).collect()
+    stats, start = {}, {}
+    for r in rows:
+        gk = tuple(r[g] for g in group_cols)
+        stats[gk] = (int(r["n"]), None, None)
+        start[(gk, int(r["__k"]))] = (r["lo"], r["hi"], int(r["cum"] - r["c"]), int(r["c"]))
+    plan = []
+    for gk, (n, _l, _h) in stats.items():
+        for p in probs:
+            pos = float(p) * (n - 1)
+            lo_idx = int(pos // 1)
+            plan.append((gk, float(p), lo_idx + 1, min(lo_idx + 2, n), pos - lo_idx))
+    return stats, start, plan
+
+
 def prefix_histogram(df: DataFrame, value_col: str, group_cols, shift: int) -> dict:
     """One aggregate pass: per group, count/min/max of ``value >> shift`` buckets.
 
