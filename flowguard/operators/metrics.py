@@ -84,6 +84,9 @@ def cumulative_by_score(table: DataFrame, sum_cols: list[str], descending: bool
     spark = table.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = F.col("score").desc() if descending else F.col("score").asc()
+    # Kept once: the range bounds are sampled from shuffle output whose row order can differ
+    # between two evaluations, so the partition id of a row must be fixed before both
+    # branches (totals and running sums) read it.
     ranged = (
         table.repartitionByRange(n_parts, *group_cols, order)
         .withColumn("__pid", F.spark_partition_id())
