@@ -2,8 +2,9 @@
 
 Curves and AUC work on the distinct-score table ``(score, pos, neg)``: one aggregate with
 map-side combine, so a score shared by a third of all rows is one row. Running sums over
-score order use :func:`cumulative_by_score`, a two-pass prefix sum over range partitions
-(per-partition totals, then offsets), never an unpartitioned window over all scores.
+score order use :func:`cumulative_by_score`, a two-pass prefix sum over deterministic
+order-preserving score buckets (per-bucket totals, then offsets), never an unpartitioned
+window over all scores.
 """
 
 from __future__ import annotations
@@ -73,34 +74,44 @@ def score_table(df: DataFrame, y: str = "y", score: str = "score", group_cols=()
     )
 
 
+def score_bucket(score: Column, sub: int = 4096) -> Column:
+    """Deterministic, order-preserving bucket of a score (log scale, ``sub`` per binade);
+    +-inf and NaN get the outermost buckets."""
+    from flowguard.operators.order_stats import log_bucket
+
+    edge = F.lit(1 << 40)
+    return (
+        F.when(F.isnan(score), edge + 1)
+        .when(score == F.lit(float("inf")), edge)
+        .when(score == F.lit(float("-inf")), -edge)
+        .otherwise(log_bucket(score, sub))
+    )
+
+
 def cumulative_by_score(table: DataFrame, sum_cols: list[str], descending: bool = True,
                         group_cols=(), partitions: int | None = None) -> DataFrame:
     """Running sums of ``sum_cols`` over score order (inclusive), per group.
 
-    Pass 1 range-partitions the distinct scores and totals each partition; the totals (one
-    row per partition and group) get exclusive prefix offsets; pass 2 adds each row's
-    in-partition running sum to its offset. Work per task is bounded by the partition size.
+    Two passes over the distinct-score table, no single-task window: scores fall into
+    deterministic order-preserving buckets (:func:`score_bucket`); pass 1 totals each bucket
+    (bounded: binades x sub-buckets per group) and turns the totals into exclusive offsets;
+    pass 2 adds each row's running sum inside its bucket to the bucket's offset. Bucket ids
+    come from the score itself, so a recomputed partition (lost executor) lands in the same
+    bucket. ``partitions`` is accepted for API compatibility.
     """
-    spark = table.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = F.col("score").desc() if descending else F.col("score").asc()
-    # Kept once: the range bounds are sampled from shuffle output whose row order can differ
-    # between two evaluations, so the partition id of a row must be fixed before both
-    # branches (totals and running sums) read it.
-    ranged = (
-        table.repartitionByRange(n_parts, *group_cols, order)
-        .withColumn("__pid", F.spark_partition_id())
-        .persist()
-    )
-    totals = ranged.groupBy(*group_cols, "__pid").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
-    w_off = Window.partitionBy(*group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    b_order = F.col("__pid").desc() if descending else F.col("__pid").asc()
+    t = table.withColumn("__pid", score_bucket(F.col("score")))
+    totals = t.groupBy(*group_cols, "__pid").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
+    wg = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(1))
+    w_off = wg.orderBy(b_order).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *group_cols, "__pid",
         *[F.coalesce(F.sum(f"__t_{c}").over(w_off), F.lit(0)).alias(f"__o_{c}") for c in sum_cols],
     )
     w_loc = Window.partitionBy(*group_cols, "__pid").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.select("*", *[F.sum(c).over(w_loc).alias(f"__l_{c}") for c in sum_cols])
-    # offsets: one row per (group, range partition), a bounded side table.
+    local = t.select("*", *[F.sum(c).over(w_loc).alias(f"__l_{c}") for c in sum_cols])
+    # offsets: one row per (group, bucket) -- bounded by the bucket grid, not by the data.
     out = local.join(F.broadcast(offsets), [*group_cols, "__pid"])
     return out.select(
         *table.columns,
