@@ -67,6 +67,35 @@ def materialize(df: DataFrame, how: str = "cache") -> DataFrame:
     raise ValueError(f"unknown materialize mode: {how}")
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``flowguard`` importable in executor Python workers (for ``mapInPandas`` steps).
+
+    Zips the package once per SparkContext and adds it with ``addPyFile``: Spark serves the
+    file from the driver and puts it on every task's path, as ``--py-files`` would.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import flowguard
+
+    root = os.path.dirname(os.path.abspath(flowguard.__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="flowguard-code-"), "flowguard.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(target)
+    _SHIPPED.add(key)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a DataFrame at least the default parallelism before it is kept and reread.
 
