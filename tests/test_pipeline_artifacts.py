@@ -20,3 +20,12 @@ def test_pipeline_writes_manifest_and_checklist(spark, out_dir):
     assert manifest["data_source"] == "demo" and manifest["mask_ablation_count"] == 2
     check = {r["name"]: r["present"] for r in out["metrics"].sparkSession.read.option("header", True).csv(os.path.join(out_dir, "checklist.csv")).collect()}
     assert check["metrics"] == "true" and check["mask_ratio_ablation"] == "true"
+
+
+def test_short_pipeline_form(spark, out_dir):
+    raw = build_demo_flows(spark, 300, 4)
+    out = run_pipeline(spark, raw, out_dir=out_dir, data_source="demo", epochs=1, run_ablation=False, baselines=False,
+                       persist="cache", inspect=False, unmasked_transformer=False, attack_tables=False)
+    models = [r["model"] for r in out["metrics"].orderBy("run_order").collect()]
+    assert models == ["Vanilla Autoencoder", "Masked Transformer Autoencoder"]
+    assert out["report"] is None and out["attack_type_metrics"] is None
