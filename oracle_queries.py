@@ -297,9 +297,9 @@ A1_EDGE_SQL = LI_KEYS + "\nSELECT k_src AS src, k_dst AS dst, count(*) AS n FROM
 
 A2_SQL = LI_KEYS + """,
 e AS (SELECT k_src, k_dst, count(*) AS n FROM k GROUP BY ALL)
-SELECT 'src' AS role, k_src AS host, sum(n) AS rows, count(*) AS distinct_peers FROM e GROUP BY k_src
+SELECT 'src' AS role, k_src AS host, CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct_peers FROM e GROUP BY k_src
 UNION ALL
-SELECT 'dst' AS role, k_dst AS host, sum(n) AS rows, count(*) AS distinct_peers FROM e GROUP BY k_dst
+SELECT 'dst' AS role, k_dst AS host, CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct_peers FROM e GROUP BY k_dst
 """
 
 A1_PORT_SQL = LI_KEYS + """
@@ -494,9 +494,9 @@ UNION ALL SELECT 'lineitem', {r6('roc_auc')} FROM a2
 
 A19_SQL = f"""
 WITH {SCORED_LINEITEM}
-SELECT y, 0.95 AS q, {r6('quantile_cont(score, 0.95)')} AS value FROM scored_lineitem GROUP BY y
+SELECT y, CAST(0.95 AS DOUBLE) AS q, {r6('quantile_cont(score, 0.95)')} AS value FROM scored_lineitem GROUP BY y
 UNION ALL
-SELECT y, 0.99 AS q, {r6('quantile_cont(score, 0.99)')} AS value FROM scored_lineitem GROUP BY y
+SELECT y, CAST(0.99 AS DOUBLE) AS q, {r6('quantile_cont(score, 0.99)')} AS value FROM scored_lineitem GROUP BY y
 """
 
 A21_SQL = f"""
@@ -554,7 +554,7 @@ def pr_sql(src_cte: str, src: str) -> str:
     return f"""
 WITH {src_cte},
 st AS (SELECT score, count_if(y = 1) AS pos, count_if(y = 0) AS neg FROM {src} GROUP BY score),
-c AS (SELECT score, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER () AS P FROM st
+c AS (SELECT score, CAST(sum(pos) OVER w AS BIGINT) AS tp, CAST(sum(neg) OVER w AS BIGINT) AS fp, sum(pos) OVER () AS P FROM st
       WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 SELECT {r6('score')} AS threshold, tp, fp, {r6(sdiv('tp', 'tp + fp'))} AS precision,
        {r6('CASE WHEN P = 0 THEN 1.0 ELSE CAST(tp AS DOUBLE) / CAST(P AS DOUBLE) END')} AS recall FROM c
@@ -659,7 +659,27 @@ SELECT translate(lower(raw_label || ' Model/v1'), ' /', '__') AS file_tag, {cols
 """
 
 
+def _bigint_counts(sql: str) -> str:
+    """DuckDB types ``count_if`` as HUGEINT; Spark's is BIGINT. Wrap every call in a cast."""
+    out, i, tok = [], 0, "count_if("
+    while True:
+        j = sql.find(tok, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(tok)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j] + "CAST(" + sql[j:k] + " AS BIGINT)")
+        i = k
+
+
 def oracle_sql() -> dict[str, str]:
+    return {k: _bigint_counts(v) for k, v in _oracle_sql().items()}
+
+
+def _oracle_sql() -> dict[str, str]:
     return {
         "p5_to_number": P5_SQL,
         "p8_binary_label": P8_SQL,
