@@ -32,10 +32,17 @@ def _canon(rows):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, duck, name):
     sdf = QUERIES[name](spark, SF_SMALL)
     srows = [r.asDict() for r in sdf.collect()]
+    rel = duck.sql(SQL[name])
+    want_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    got_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    assert got_types == want_types
     ddf = duck.execute(SQL[name]).fetchdf()
     assert sorted(sdf.columns) == sorted(ddf.columns)
     drows = [{k: (None if v is None or (isinstance(v, float) and math.isnan(v)) else (v.item() if hasattr(v, "item") else v))
