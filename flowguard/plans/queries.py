@@ -459,6 +459,16 @@ def q_m6_vanilla_autoencoder(spark, sf_dir):
     return _metric_frame(spark, run_vanilla_autoencoder(prep, fit.feature_names, epochs=10, tables=False).metrics)
 
 
+def q_m6_embeddings_autoencoder(spark, sf_dir):
+    """Vanilla autoencoder on the 64-wide embedding vectors (label 0 is the attack class)."""
+    from flowguard.plans.experiment import run_vanilla_autoencoder
+    from flowguard.sources.tables import embedding_flows
+
+    out, fit = prepare_flows(embedding_flows(spark, sf_dir), key_col="Flow ID")
+    prep = materialize(out)
+    return _metric_frame(spark, run_vanilla_autoencoder(prep, fit.feature_names, epochs=10, tables=False).metrics)
+
+
 def q_m5_masked_transformer_autoencoder(spark, sf_dir):
     from flowguard.plans.experiment import run_transformer_autoencoder
 
@@ -536,6 +546,7 @@ REGISTRY = {
     "t1_feature_importance": q_t1_feature_importance,
     "m2_mlp": q_m2_mlp,
     "m6_vanilla_autoencoder": q_m6_vanilla_autoencoder,
+    "m6_embeddings_autoencoder": q_m6_embeddings_autoencoder,
     "m5_masked_transformer_autoencoder": q_m5_masked_transformer_autoencoder,
     "m16_mask_ratio_ablation": q_m16_mask_ratio_ablation,
 }
