@@ -73,9 +73,12 @@ _SHIPPED: set = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``flowguard`` importable in executor Python workers (for ``mapInPandas`` steps).
 
-    Zips the package once per SparkContext and adds it with ``addPyFile``: Spark serves the
-    file from the driver and puts it on every task's path, as ``--py-files`` would.
+    Zips the package in memory once per SparkContext, writes it into the cluster's shared
+    checkpoint folder through the Hadoop FileSystem API and adds it with ``addPyFile``, as
+    ``--py-files`` would.
     """
+    import hashlib
+    import io
     import zipfile
 
     sc = spark.sparkContext
@@ -85,14 +88,24 @@ def ship_package(spark: SparkSession) -> None:
     import flowguard
 
     root = os.path.dirname(os.path.abspath(flowguard.__file__))
-    target = os.path.join(tempfile.mkdtemp(prefix="flowguard-code-"), "flowguard.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
-        for base, _dirs, files in os.walk(root):
-            for f in files:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in sorted(os.walk(root)):
+            for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(base, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
-    sc.addPyFile(target)
+    data = buf.getvalue()
+    folder = ensure_checkpoint_dir(spark).rstrip("/")
+    uri = f"{folder}/flowguard-code/flowguard-{hashlib.sha1(data).hexdigest()[:12]}.zip"
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(uri)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        out = fs.create(path, True)
+        out.write(bytearray(data))
+        out.close()
+    sc.addPyFile(uri)
     _SHIPPED.add(key)
 
 
