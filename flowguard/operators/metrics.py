@@ -93,26 +93,37 @@ def cumulative_by_score(table: DataFrame, sum_cols: list[str], descending: bool
     """Running sums of ``sum_cols`` over score order (inclusive), per group.
 
     Two passes over the distinct-score table, no single-task window: scores fall into
-    deterministic order-preserving buckets (:func:`score_bucket`); pass 1 totals each bucket
-    (bounded: binades x sub-buckets per group) and turns the totals into exclusive offsets;
-    pass 2 adds each row's running sum inside its bucket to the bucket's offset. Bucket ids
-    come from the score itself, so a recomputed partition (lost executor) lands in the same
-    bucket. ``partitions`` is accepted for API compatibility.
+    deterministic order-preserving buckets (:func:`score_bucket`, 4096 per binade). A bucket
+    holding more than ``flowguard.curve.bucketMaxRows`` distinct scores (default 2,000,000;
+    at most rows / limit such buckets, their ids are the only thing collected) is split again
+    by a 2^24-per-binade bucket. Pass 1 totals each (bucket, sub-bucket) and turns the totals
+    into exclusive offsets (a table bounded by the bucket grid); pass 2 adds each row's running
+    sum inside its bucket to the bucket's offset. Bucket ids come from the score itself, so a
+    recomputed partition (lost executor) lands in the same bucket. ``partitions`` is accepted
+    for API compatibility.
     """
+    from flowguard.session import row_cap_for_broadcast
+
+    spark = table.sparkSession
+    limit = row_cap_for_broadcast(spark, "flowguard.curve.bucketMaxRows", 2_000_000)
     order = F.col("score").desc() if descending else F.col("score").asc()
-    b_order = F.col("__pid").desc() if descending else F.col("__pid").asc()
+    direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     t = table.withColumn("__pid", score_bucket(F.col("score")))
-    totals = t.groupBy(*group_cols, "__pid").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
+    heavy = [r["__pid"] for r in t.groupBy("__pid").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > limit).select("__pid").collect()]
+    fine = score_bucket(F.col("score"), 1 << 24)
+    t = t.withColumn("__sub", F.when(F.col("__pid").isin(heavy), fine).otherwise(F.lit(0).cast("long")) if heavy else F.lit(0).cast("long"))
+    keys = [*group_cols, "__pid", "__sub"]
+    totals = t.groupBy(*keys).agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
     wg = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(1))
-    w_off = wg.orderBy(b_order).rowsBetween(Window.unboundedPreceding, -1)
+    w_off = wg.orderBy(direction("__pid"), direction("__sub")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *group_cols, "__pid",
+        *keys,
         *[F.coalesce(F.sum(f"__t_{c}").over(w_off), F.lit(0)).alias(f"__o_{c}") for c in sum_cols],
     )
-    w_loc = Window.partitionBy(*group_cols, "__pid").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w_loc = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = t.select("*", *[F.sum(c).over(w_loc).alias(f"__l_{c}") for c in sum_cols])
-    # offsets: one row per (group, bucket) -- bounded by the bucket grid, not by the data.
-    out = local.join(F.broadcast(offsets), [*group_cols, "__pid"])
+    # offsets: one row per (group, bucket, sub-bucket) -- bounded by the bucket grid.
+    out = local.join(F.broadcast(offsets), keys)
     return out.select(
         *table.columns,
         *[(F.col(f"__o_{c}") + F.col(f"__l_{c}")).alias(f"cum_{c}") for c in sum_cols],

@@ -167,3 +167,17 @@ def test_csv_repeated_headers_and_number_spellings_dedup(spark, tmp_path):
 
     r = inspect_flows(df).collect()[0]
     assert r["duplicate_rows"] == 1 and r["benign_samples"] == 1
+
+
+def test_cumulative_sums_with_heavy_buckets_split(spark):
+    # 3000 distinct scores inside one narrow interval: one 4096-per-binade bucket holds them all
+    pdf = pd.DataFrame({"score": 1.0 + np.arange(3000) * 1e-9, "pos": np.ones(3000, dtype="int64")})
+    try:
+        spark.conf.set("flowguard.curve.bucketMaxRows", "100")
+        out = metrics.cumulative_by_score(spark.createDataFrame(pdf), ["pos"], descending=False)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = {round(r["score"], 12): r["cum_pos"] for r in out.collect()}
+    finally:
+        spark.conf.unset("flowguard.curve.bucketMaxRows")
+    assert all(got[round(1.0 + i * 1e-9, 12)] == i + 1 for i in range(3000))
+    assert "__sub" in plan
