@@ -170,14 +170,15 @@ def _salted_left_join(k: DataFrame, table: DataFrame, keys: list[str], values: l
     return k.drop("__salt", *[f"__hot_{v}" for v in values])
 
 
-def apply_graph(df: DataFrame, lookups: GraphLookups, log1p: bool = True) -> DataFrame:
+def apply_graph(df: DataFrame, lookups: GraphLookups, log1p: bool = True, row_key: str | None = None) -> DataFrame:
     """J1-J8 + P12: left-join the count tables; unseen keys count 0; ``log1p`` of the counts.
 
     A table whose measured row count is at most ``flowguard.graph.broadcastMaxRows`` (default
     2,000,000) is broadcast, so the flow rows are not shuffled for it. A larger table is
     sort-merge joined with its hot keys (count >= ``flowguard.skew.hotRows``, default
     1,000,000 train rows) broadcast and the rest salted (:func:`_salted_left_join`), so a key
-    holding a third of all flows does not end up in one task.
+    holding a third of all flows does not end up in one task. With a unique ``row_key`` and two
+    or more large tables, those joins run on a narrow key table joined back once.
     """
     from flowguard.session import row_cap_for_broadcast
 
@@ -186,11 +187,22 @@ def apply_graph(df: DataFrame, lookups: GraphLookups, log1p: bool = True) -> Dat
     hot_rows = row_cap_for_broadcast(spark, "flowguard.skew.hotRows", 1_000_000)
     salts = row_cap_for_broadcast(spark, "flowguard.skew.salts", 64)
     k = with_graph_keys(df, lookups.schema)
-    for name, table, keys, values in lookups.tables():
-        size = (lookups.sizes or {}).get(name)
-        if size is not None and size <= cap:
-            k = k.join(F.broadcast(table), keys, "left")
-        else:
+    sizes = lookups.sizes or {}
+    small = [t for t in lookups.tables() if sizes.get(t[0]) is not None and sizes[t[0]] <= cap]
+    large = [t for t in lookups.tables() if t not in small]
+    for _name, table, keys, _values in small:
+        k = k.join(F.broadcast(table), keys, "left")
+    if len(large) >= 2 and row_key:
+        # Several large tables: join them on a narrow (row_key, keys) table, so the wide flow
+        # rows are shuffled once (the join back on the unique row key) instead of per table.
+        key_cols = sorted({c for _n, _t, ks, _v in large for c in ks})
+        narrow = k.select(row_key, *key_cols)
+        for _name, table, keys, values in large:
+            narrow = _salted_left_join(narrow, table, keys, values, values[0], hot_rows, salts)
+        vals = [v for _n, _t, _k, vs in large for v in vs]
+        k = k.join(narrow.select(row_key, *vals), row_key, "left")
+    else:
+        for _name, table, keys, values in large:
             k = _salted_left_join(k, table, keys, values, values[0], hot_rows, salts)
     names = lookups.feature_names
     vals = {}

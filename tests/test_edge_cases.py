@@ -181,3 +181,24 @@ def test_cumulative_sums_with_heavy_buckets_split(spark):
         spark.conf.unset("flowguard.curve.bucketMaxRows")
     assert all(got[round(1.0 + i * 1e-9, 12)] == i + 1 for i in range(3000))
     assert "__sub" in plan
+
+
+def test_graph_join_narrow_path_equals_broadcast(spark):
+    from flowguard.operators.graph import apply_graph, fit_graph
+    from flowguard.schema import FlowSchema
+
+    rows = [(f"r{i}", "10.0.0.1" if i % 3 == 0 else f"10.0.1.{i % 50}", f"192.168.0.{i % 7}", i % 5, 80 + i % 4, "BENIGN")
+            for i in range(2000)]
+    df = spark.createDataFrame(rows, "rk STRING, `Source IP` STRING, `Destination IP` STRING, `Source Port` BIGINT, `Destination Port` BIGINT, Label STRING")
+    schema = FlowSchema.resolve(df.columns)
+    g = fit_graph(df, schema)
+    names = schema.graph_feature_names
+    want = sorted(tuple(r) for r in apply_graph(df, g).select("rk", *names).collect())
+    try:
+        spark.conf.set("flowguard.graph.broadcastMaxRows", "0")
+        spark.conf.set("flowguard.skew.hotRows", "400")
+        got = sorted(tuple(r) for r in apply_graph(df, g, row_key="rk").select("rk", *names).collect())
+    finally:
+        spark.conf.unset("flowguard.graph.broadcastMaxRows")
+        spark.conf.unset("flowguard.skew.hotRows")
+    assert got == want
