@@ -68,8 +68,9 @@ def classification_metrics(df: DataFrame, y: str = "y", pred: str = "pred", scor
 
 
 def score_table(df: DataFrame, y: str = "y", score: str = "score", group_cols=()) -> DataFrame:
-    """Distinct scores with their positive and negative row counts."""
-    return df.groupBy(*group_cols, F.col(score).alias("score")).agg(
+    """Distinct scores with their positive and negative row counts (rows without a score are
+    left out)."""
+    return df.where(F.col(score).isNotNull()).groupBy(*group_cols, F.col(score).alias("score")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg")
     )
 

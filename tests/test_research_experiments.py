@@ -72,3 +72,13 @@ def test_mask_ratio_parser_validates_values(spark):
         parse_mask_ratios(" , ")
     r = spark.range(1).select(parse_mask_ratios_col(F.lit("0, 0.15,,0.3")).alias("r")).collect()[0]["r"]
     assert r == [0.0, 0.15, 0.3]
+
+
+def test_benign_values_as_a_table(spark):
+    from flowguard.functions.columns import binary_label_from_table
+
+    df = spark.createDataFrame([(" benign ",), ("Normal",), ("quiet",), ("DDoS",), (None,)], "Label STRING")
+    ben = spark.createDataFrame([("BENIGN",), ("normal",), ("Quiet",)], "v STRING")
+    got = [r["y"] for r in binary_label_from_table(df, "Label", ben).orderBy(F.col("Label").asc_nulls_last()).collect()]
+    # ' benign ', 'DDoS', 'Normal', 'quiet', null
+    assert got == [0, 1, 0, 0, 1]
