@@ -202,3 +202,19 @@ def test_graph_join_narrow_path_equals_broadcast(spark):
         spark.conf.unset("flowguard.graph.broadcastMaxRows")
         spark.conf.unset("flowguard.skew.hotRows")
     assert got == want
+
+
+def test_load_or_build_falls_back_to_demo_only_when_allowed(spark, tmp_path):
+    from flowguard.sources.csv import load_or_build
+
+    empty = tmp_path / "none"
+    empty.mkdir()
+    with pytest.raises(FileNotFoundError):
+        load_or_build(spark, str(empty))
+    df, source = load_or_build(spark, str(empty), demo_data=True, demo_samples=200)
+    assert source == "demo" and df.count() == 200
+    counts = {r["Label"]: r["count"] for r in df.groupBy("Label").count().collect()}
+    assert counts == {"BENIGN": 130, "Attack": 70}
+    (tmp_path / "real.csv").write_text("Label,x\nBENIGN,1\n")
+    df2, source2 = load_or_build(spark, str(tmp_path), demo_data=True)
+    assert source2 == "files" and df2.count() == 1
