@@ -82,3 +82,20 @@ def test_benign_values_as_a_table(spark):
     got = [r["y"] for r in binary_label_from_table(df, "Label", ben).orderBy(F.col("Label").asc_nulls_last()).collect()]
     # ' benign ', 'DDoS', 'Normal', 'quiet', null
     assert got == [0, 1, 0, 0, 1]
+
+
+def test_best_model_tie_goes_to_first_run(spark):
+    from flowguard.operators.metrics import best_by_f1
+
+    m = spark.createDataFrame([("A", 0, 0.9), ("B", 1, 0.95), ("C", 2, 0.95)], "model STRING, run_order INT, f1 DOUBLE")
+    assert best_by_f1(m).collect()[0]["model"] == "B"
+
+
+def test_threshold_analysis_with_single_class_validation(spark):
+    valid = _scores(spark, [0, 0, 0, 0, 0], [1, 2, 3, 4, 5])
+    test = _scores(spark, [0, 1], [4.9, 5.0])
+    rows = {r["strategy"]: r for r in threshold_analysis(valid, test, "Demo").collect()}
+    assert rows["best_f1"]["threshold"] == pytest.approx(4.8)
+    assert rows["target_recall_0.90"]["threshold"] == pytest.approx(4.8)
+    assert rows["normal_99_percentile"]["threshold"] == pytest.approx(4.96)
+    assert rows["best_f1"]["recall"] == 1.0
