@@ -13,6 +13,45 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowguard.llm import embed_dedup
+
+    return embed_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowguard.llm import decontam
+
+    found = decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowguard.llm import mixing
+
+    return mixing.taken(read(spark, sf_dir, "documents"))
+
+
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowguard.llm import html_extract
+
+    return html_extract.main_texts(read(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowguard.llm import chat
+
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(chat.control_conversation(spark))
+    return chat.digests(chat.formatted(chat.conversation_nodes(rows)))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from flowguard.llm import simhash
 
@@ -21,5 +60,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_decontamination": op2_decontamination,
+    "op3_mixing": op3_mixing,
+    "op4_html": op4_html,
+    "op9_chat": op9_chat,
     "op10_simhash": op10_simhash,
 }

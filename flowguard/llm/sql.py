@@ -2,4 +2,90 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+#: Words, document windows and item windows; every occurrence of an item's window in a document.
+OP2 = r"""
+with
+lowered as (select doc_id, row_number() over () as r, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+doc as (select doc_id, r, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from lowered),
+item as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+item_window as (
+    select distinct item_id, least(len(w), 10) as n, array_to_string(list_slice(w, k, k + least(len(w), 10) - 1), ' ') as g
+    from (select item_id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) as k from item where len(w) > 0)
+),
+sizes as (select distinct n from item_window),
+doc_window as (
+    select r, n, k, array_to_string(list_slice(w, k, k + n - 1), ' ') as g
+    from (select r, w, n, unnest(generate_series(1, len(w) - n + 1)) as k from doc, sizes where len(w) >= n)
+),
+found as (select d.r, d.k, d.n, i.item_id from doc_window d join item_window i on d.n = i.n and d.g = i.g),
+hit as (select r, count(distinct p) as n_hit from (select r, unnest(generate_series(k, k + n - 1)) as p from found) group by r),
+named as (select r, count(*) as n_items, string_agg(i, ',' order by i) as items from (select distinct r, cast(item_id as varchar) as i from found) group by r)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit, cast(coalesce(n_items, 0) as bigint) as n_items,
+       sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc left join hit using (r) left join named using (r)
+"""
+
+OP3 = r"""
+with
+d as (
+    select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
+           cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || '|17'), 1, 15) as bigint) as key
+    from documents
+),
+s1 as (select source, cast(sum(size) as bigint) as source_size, row_number() over (order by source nulls last) - 1 as sid from d group by source),
+s2 as (select *, [3.0::double, 1.0::double, 2.0::double][sid % 3 + 1] as weight, source_size * 2.0::double as most, cast(sum(source_size) over () as double) * 1.5::double as goal from s1),
+s3 as (
+    select *, (goal - coalesce(sum(most) over (order by most / weight, sid rows between unbounded preceding and 1 preceding), 0.0::double))
+              / sum(weight) over (order by most / weight, sid rows between current row and unbounded following) as level
+    from s2
+),
+s4 as (select *, most <= weight * level as is_full, max(case when not (most <= weight * level) then level end) over () as final from s3),
+s5 as (
+    select sid, source, source_size, case when is_full then most else least(most, weight * final) end as target,
+           greatest(1, least(1024, source_size // 4096)) as block
+    from s4
+),
+s6 as (select *, (source_size + block - 1) // block as n_blocks from s5),
+s as (
+    select *, least(cast(floor(target / block + 0.5) as bigint), 2 * n_blocks) as quota,
+           case when n_blocks <= 1 then 99999989 else list_filter([99999989, 99999971, 99999959, 99999941, 99999931, 99999847, 99999839], lambda p: p % n_blocks != 0 and n_blocks % p != 0)[1] end as prime
+    from s6
+),
+line as (
+    select s.*, d.doc_id, d.size, row_number() over () as r,
+           cast(sum(d.size) over (partition by s.sid order by d.key, d.doc_id, d.size rows between unbounded preceding and current row) as bigint) - d.size as off
+    from d join s on d.source is not distinct from s.source
+),
+piece as (select *, unnest(generate_series(off // block, (off + size - 1) // block)) as b from line where size > 0),
+ranked as (select *, cast((cast(b as hugeint) * prime + sid) % n_blocks as bigint) as rank from piece),
+got as (
+    select r, cast(sum((least(off + size, (b + 1) * block) - greatest(off, b * block)) * ((rank < quota)::int + (rank + n_blocks < quota)::int)) as bigint) as taken
+    from ranked group by r
+)
+select doc_id, size, source_size, target, coalesce(taken, 0) as taken from line left join got using (r)
+"""
+
+OP9 = r"""
+with
+c as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+    union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+),
+e as (
+    select *, replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n') as r, replace(replace(text, '\', '\\'), '<|', '<\|') as t
+    from c
+),
+g as (
+    select conv_id, count(*) as n_turns,
+           string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text) as turns,
+           coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '') as learned,
+           sum(12 + length(r) + 1 + length(t) + 11) as formatted_chars
+    from e group by conv_id
+)
+select conv_id, n_turns, sha256(turns) as turns_sha256, cast(length(learned) as bigint) as loss_chars, sha256(learned) as loss_sha256,
+       cast(formatted_chars as bigint) as formatted_chars
+from g
+"""
+
+SQL: dict[str, str] = {"op2_decontamination": OP2, "op3_mixing": OP3, "op9_chat": OP9}
