@@ -38,6 +38,9 @@ SHINGLE, BITS, SEED = 3, 3, 42
 SAMPLE_ROWS = 20_000
 #: Most frequent sampled values of a part that estimates look at.
 FREQUENT = 512
+#: Distinct fingerprints up to which three parts (about 24 probes each, 21 bits a part) cost less
+#: than two (about 66 probes each, 32 bits a part) when values are spread evenly.
+THREE_PARTS = 1 << 22
 #: Rows of a block of a part value; larger groups are split into cells.
 BLOCK = 2048
 
@@ -165,8 +168,7 @@ class Plan:
 
     def __init__(self, sample: np.ndarray, total: int, tau: int = BITS):
         self.tau, self.total = tau, max(total, 1)
-        m = min(max(64 // max(int(np.ceil(np.log2(self.total + 1))), 1), 1), tau + 1, 4)
-        self.m = max(m, 2) if tau else 1
+        self.m = min(3 if self.total <= THREE_PARTS else 2, tau + 1)
         self.parts = bit_parts(sample, self.m)
         self.frequent = []
         for part in self.parts:
