@@ -46,6 +46,15 @@ def discard(df: DataFrame | None) -> None:
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: Rows of a narrow stored table up to which a join broadcasts it; a larger one is shuffled.
+BROADCAST_ROWS = 200_000
+
+
+def counted(stored: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A stored narrow table, marked for broadcast when its counted rows are few."""
+    return F.broadcast(stored) if stored.count() <= most else stored
+
+
 def ready(spark: SparkSession) -> None:
     """Before any step with Python functions: the package is shipped to the executors' workers."""
     ship_package(spark)

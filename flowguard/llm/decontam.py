@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import ALNUM, Words, ready, slices, store
+from flowguard.llm.common import ALNUM, Words, counted, ready, slices, store
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -231,3 +231,11 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop:
     """``doc_id, n_words, n_hit, items`` per row of ``docs``."""
     index = stored_index(docs)
     return marked_documents(index, store(phrase_matches(index, items, window, slop), "phrase-matches"))
+
+
+def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = 0) -> DataFrame:
+    """The rows of ``docs`` without any match; columns as given."""
+    row = F.xxhash64("doc_id", "text")  # equal for equal rows alone
+    index = stored_index(docs.select(row.alias("row_key"), "text"), "row_key")
+    bad = store(phrase_matches(index, items, window, slop).select(F.col("doc_id").alias("bad_key")).distinct(), "contaminated")
+    return docs.join(counted(bad), row == F.col("bad_key"), "left_anti")

@@ -45,6 +45,35 @@ def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_texts(read(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowguard.llm import quality
+
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowguard.llm import toxicity
+
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowguard.llm import lm_score
+
+    return lm_score.scored(read(spark, sf_dir, "documents"))
+
+
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per repeated passage: the document and span, and the earlier document's span."""
+    from flowguard.llm import substring
+
+    found = substring.passages(read(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("doc").alias("doc_id"), "first_word", "n_words", F.col("source").alias("source_doc_id"), "source_first_word", "source_words", "equal_words",
+        (F.col("equal_words") / F.greatest("n_words", "source_words")).alias("identity"),
+    )
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     from flowguard.llm import chat
 
@@ -64,6 +93,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_mixing": op3_mixing,
     "op4_html": op4_html,
+    "op5_quality": op5_quality,
+    "op6_toxicity": op6_toxicity,
+    "op7_lm_score": op7_lm_score,
+    "op8_substring": op8_substring,
     "op9_chat": op9_chat,
     "op10_simhash": op10_simhash,
 }

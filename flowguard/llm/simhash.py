@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import NOT_SPACE, Words, cells, components, local_roots, ready, slices, store, whole_groups
+from flowguard.llm.common import NOT_SPACE, Words, cells, components, counted, local_roots, ready, slices, store, whole_groups
 
 SHINGLE, BITS, SEED = 3, 3, 42
 #: Distinct fingerprints that the bit parts and the candidate estimates are fitted on.
@@ -320,5 +320,5 @@ def fingerprint_hex(fp: str = "fp"):
 def unique_documents(docs: DataFrame, shingle: int = SHINGLE, tau: int = BITS) -> DataFrame:
     """The rows of ``docs`` whose doc_id names its component (one document of each group), plus
     rows without a doc_id, which nothing can name; columns as given."""
-    kept = near_duplicates(docs, shingle, tau).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left").where("kept_id is not null or doc_id is null").drop("kept_id")
+    gone = near_duplicates(docs, shingle, tau).where("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(counted(store(gone, "simhash-gone")), F.col("doc_id") == F.col("gone_id"), "left_anti")
