@@ -1,7 +1,8 @@
 """Toxicity: gradient-boosted trees over dense features, with isotonic calibration.
 
-Lexicon: words and word beginnings (4, 5 and 6 bytes) that occur in clearly more toxic than other
-documents of a bounded labelled sample, weighted by log odds. Features per document: densities and
+Lexicon: words and word beginnings (4 to 8 bytes) that occur clearly more often in toxic than in
+other documents of a bounded labelled sample (occurrences, up to ``REPEATS`` a document), weighted
+by log odds. Features per document: densities and
 counts of lexicon words, their greatest weight, their share near a second person, second person,
 capitals, shouted words, punctuation, and obfuscation (symbols or digits inside words, spaced-out
 letters, words that hit the lexicon only after undoing the disguise).
@@ -31,7 +32,9 @@ from flowguard.llm.common import _BYTE as BYTE_VALUES
 from flowguard.llm.labelled import held_out, sample_ids
 
 FOLDS = 5
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
+#: Occurrences of a term that count in one document.
+REPEATS = 4
 #: Terms that reach the driver at most, the most telling first.
 LEXICON_TERMS = 5000
 #: Weight from which a word counts as strong.
@@ -246,7 +249,8 @@ class Model:
 
 
 def term_counts(sample: DataFrame) -> DataFrame:
-    """``term`` and documents per fold and class (``f0_0`` ... ``f4_1``) of ``sample(text, y, fold)``."""
+    """``term``, occurrences per fold and class (``f0_0`` ... ``f4_1``, up to REPEATS a document) and
+    toxic documents (``docs``) of ``sample(text, y, fold)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,20 +264,24 @@ def term_counts(sample: DataFrame) -> DataFrame:
                 doc, h = doc[order], h[order]
                 new = np.ones(len(h), bool)
                 new[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
+                at = np.flatnonzero(new)
+                times = np.minimum(np.diff(np.append(at, len(h))), REPEATS)
                 group = (part.column(1).to_numpy() + 2 * part.column(2).to_numpy())[doc[new]]
-                yield pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64)), pa.array(group.astype(np.int32))], ["term", "grp"])
+                yield pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64)), pa.array(group.astype(np.int32)), pa.array(times.astype(np.int32))], ["term", "grp", "n"])
 
-    rows = sample.select("text", F.col("y").cast("int"), F.col("fold").cast("int")).mapInArrow(run, "term long, grp int")
-    return rows.groupBy("term").agg(*[F.count_if(F.col("grp") == 2 * f + y).alias(f"f{f}_{y}") for f in range(FOLDS) for y in (0, 1)])
+    rows = sample.select("text", F.col("y").cast("int"), F.col("fold").cast("int")).mapInArrow(run, "term long, grp int, n int")
+    each = [F.sum(F.when(F.col("grp") == 2 * f + y, F.col("n")).otherwise(0)).alias(f"f{f}_{y}") for f in range(FOLDS) for y in (0, 1)]
+    return rows.groupBy("term").agg(*each, F.count_if(F.col("grp") % 2 == 1).alias("docs"))
 
 
 def lexicon(count: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which terms are in, and their weights. count: (terms, 2) documents per class; size: (2,)."""
+    """Which terms are in, and their weights. count: (terms, 2) occurrences per class; size: (2,)
+    documents per class."""
     other, toxic = count[:, 0] / max(size[0], 1), count[:, 1] / max(size[1], 1)
     expected = other * size[1]
     z = (count[:, 1] - expected) / np.sqrt(count[:, 1] + expected * max(size[1], 1) / max(size[0], 1) + 1e-9)
     weight = np.log((count[:, 1] + 0.5) / (size[1] + 1)) - np.log((count[:, 0] + 0.5) / (size[0] + 1))
-    return (count[:, 1] >= 3) & (toxic > 0) & (weight >= 1.5) & (z >= np.sqrt(np.log(max(size[1], 3)))), weight
+    return (count[:, 1] >= 3) & (toxic > 0) & (weight >= 1.5) & (z >= 1.3 * np.sqrt(np.log(max(size[1], 3)))), weight
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -292,7 +300,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         sizes[r.fold, r.y] = r["count"]
     toxic, other = (sum(F.col(f"f{f}_{y}") for f in range(FOLDS)) for y in (1, 0))
     odds = (toxic + 0.5) / (other + 0.5)
-    counts = term_counts(sample).where(toxic >= 3).orderBy(F.desc(odds * F.sqrt(toxic)), "term").limit(LEXICON_TERMS).collect()
+    counts = term_counts(sample).where(F.col("docs") >= 3).orderBy(F.desc(odds * F.sqrt(toxic)), "term").limit(LEXICON_TERMS).collect()
     term = np.array([r.term for r in counts], np.int64).view(np.uint64)
     table = np.array([[[r[f"f{f}_{y}"] for y in (0, 1)] for f in range(FOLDS)] for r in counts], float).reshape(-1, FOLDS, 2)
     books = []
