@@ -55,19 +55,28 @@ def best_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     above the leaf. ``nodes``: ``tree, node, parent, score`` with unique (tree, node)."""
     own = nodes.select("tree", "node", "parent", "score")
     there = own.select("tree", F.col("node").alias("parent"), F.lit(True).alias("there"))
-    jump = own.join(there, ["tree", "parent"], "left").select("tree", "node", F.when(F.col("there"), F.col("parent")).alias("up"), F.coalesce("score", F.lit(0.0)).alias("sum"))
-    jumps = [store(jump, "reply-jump")]
-    limit = max(1, jumps[0].count()).bit_length() + 1
-    while len(jumps) <= limit and not jumps[-1].where("up is not null").isEmpty():
+    first = own.join(there, ["tree", "parent"], "left").select("tree", "node", F.when(F.col("there"), F.col("parent")).alias("up"), F.coalesce("score", F.lit(0.0)).alias("sum"))
+    first = store(first, "reply-jump")
+    # jumps[k]: the reply 2**k above, of those that have one; done: replies whose sum is whole
+    jumps, done = [first.where("up is not null")], [first.where("up is null").drop("up")]
+    limit = max(1, first.count()).bit_length()
+    while len(jumps) <= limit and not jumps[-1].isEmpty():
         j = jumps[-1]
         above = j.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("sum").alias("sum2"))
-        jumps.append(store(j.join(above, ["tree", "up"], "left").select("tree", "node", F.col("up2").alias("up"), (F.col("sum") + F.coalesce("sum2", F.lit(0.0))).alias("sum")), "reply-jump"))
-    parents = jumps[0].where("up is not null").select("tree", F.col("up").alias("node")).distinct()
+        for d in done:
+            above = above.unionByName(d.select("tree", F.col("node").alias("up"), F.lit(None).cast("long").alias("up2"), F.col("sum").alias("sum2")))
+        longer = store(j.join(above, ["tree", "up"]).select("tree", "node", F.col("up2").alias("up"), (F.col("sum") + F.col("sum2")).alias("sum")), "reply-jump")
+        jumps.append(longer.where("up is not null"))
+        done.append(longer.where("up is null").drop("up"))
+    parents = jumps[0].select("tree", F.col("up").alias("node")).distinct()
+    whole = done[0]
+    for d in done[1:]:
+        whole = whole.unionByName(d)
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("sum"), "node"))
-    path = jumps[-1].where("up is null").join(parents, ["tree", "node"], "left_anti").withColumn("branch", rank).where(F.col("branch") <= branches)
+    path = whole.join(parents, ["tree", "node"], "left_anti").withColumn("branch", rank).where(F.col("branch") <= branches)
     path = store(path.select("tree", "branch", "node", F.lit(0).cast("long").alias("back")), "reply-path")
     for k, j in enumerate(jumps[:-1]):
-        up = path.join(j.where("up is not null"), ["tree", "node"]).select("tree", "branch", F.col("up").alias("node"), (F.col("back") + (1 << k)).alias("back"))
+        up = path.join(j, ["tree", "node"]).select("tree", "branch", F.col("up").alias("node"), (F.col("back") + (1 << k)).alias("back"))
         longer = store(path.unionByName(up), "reply-path")
         discard(path)
         path = longer
