@@ -31,12 +31,13 @@ def canonical_numbers(df: DataFrame, exclude=()) -> DataFrame:
 
     A CSV read as text keeps ``1`` and ``1.0`` apart, while a parsed numeric column makes them
     equal (for dedup and for port keys). One aggregate finds the text columns that are wholly
-    numeric; their values are rewritten as the text of the parsed DOUBLE. Typed columns and
-    ``exclude`` (label, identity columns, row key) are left alone.
+    numeric; their values take one spelling per number (:func:`number_spelling`, which keeps the
+    digits of 64-bit integers). Typed columns and ``exclude`` (label, identity columns, row key)
+    are left alone.
     """
     from pyspark.sql.types import StringType
 
-    from flowguard.functions.columns import NUMBER_PATTERN
+    from flowguard.functions.columns import NUMBER_PATTERN, number_spelling
 
     cols = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType) and f.name not in exclude]
     if not cols:
@@ -48,7 +49,7 @@ def canonical_numbers(df: DataFrame, exclude=()) -> DataFrame:
     numeric = [c for i, c in enumerate(cols) if row[f"b{i}"] == 0]
     if not numeric:
         return df
-    return df.withColumns({c: F.trim(F.col(f"`{c}`")).try_cast("double").cast("string") for c in numeric})
+    return df.withColumns({c: number_spelling(F.col(f"`{c}`")) for c in numeric})
 
 
 def duplicate_row_count(df: DataFrame) -> DataFrame:
@@ -86,13 +87,6 @@ def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*cols).unpivot([], [F.col(f"`{c}`") for c in columns], "feature", "value")
 
 
-def feature_stats(df: DataFrame, columns: list[str]) -> dict:
-    """Non-null count, min and max per column, from one aggregate over the unpivoted values."""
-    from flowguard.operators.order_stats import group_counts
-
-    return group_counts(long_values(df, columns), "value", ["feature"]) if columns else {}
-
-
 def column_medians(df: DataFrame, columns: list[str], method: str = "exact", accuracy: int = 100_000,
                    stats: dict | None = None, with_counts: bool = False):
     """A5: median of each column, missing values skipped; an all-missing column gives 0.

@@ -41,7 +41,7 @@ def with_graph_keys(df: DataFrame, schema: FlowSchema) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = {}
     for key, role in ((K_SRC, schema.src_ip), (K_DST, schema.dst_ip), (K_SPORT, schema.src_port), (K_DPORT, schema.dst_port)):
-        if role and key not in types:
+        if role in types and key not in types:
             cols[key] = key_text(F.col(f"`{role}`"), types[role])
     return df.withColumns(cols) if cols else df
 
@@ -63,6 +63,11 @@ class GraphLookups:
     def feature_names(self) -> list[str]:
         return self.schema.graph_feature_names
 
+    @property
+    def key_columns(self) -> list[str]:
+        """All key columns that the lookups join on."""
+        return sorted({k for _name, _table, keys, _values in self.tables() for k in keys})
+
     def tables(self) -> list[tuple[DataFrame, list[str], list[str]]]:
         """(lookup, join keys, value columns) in feature order."""
         out = []
