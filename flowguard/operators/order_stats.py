@@ -67,7 +67,6 @@ def kth_smallest(
     stats: dict | None = None,
     bins: int = 2048,
     final_rows: int = 50_000,
-    max_levels: int = 12,
     start: dict | None = None,
 ) -> tuple[DataFrame, dict[int, tuple[tuple, int]]]:
     """Rows of rank ``k`` (1-based) in ``(value, tie_cols)`` order within each group.
@@ -119,7 +118,7 @@ def kth_smallest(
             joined = data.withColumn("__one", F.lit(1)).join(F.broadcast(w.withColumn("__one", F.lit(1))), "__one")
         return joined.where((v >= F.col(_LO)) & (v <= F.col(_HI)))
 
-    for _level in range(max_levels):
+    while True:  # every level narrows each window, down to one value at last
         frame_targets = [
             t for t in state
             if not t.resolved and t.n_in > final_rows and t.lo != t.hi
@@ -148,6 +147,8 @@ def kth_smallest(
         by_tid = {r[_TID]: r for r in chosen}
         for t in frame_targets:
             r = by_tid[t.tid]
+            if (t.lo, t.hi) == (r["bmin"], r["bmax"]) and t.n_in == int(r["c"]):
+                raise ArithmeticError(f"the window {t.lo}..{t.hi} of {value_col} can't be narrowed")
             t.below += int(r["skip"])
             t.n_in = int(r["c"])
             t.lo, t.hi = r["bmin"], r["bmax"]
@@ -196,13 +197,15 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolated quantiles (numpy's default) of ``value_col`` per group.
 
-    Null values are skipped. Returns ``(*group_cols, q, value)``; a group with no values is
+    Null and NaN values are skipped; infinite values take their place in the order. Returns
+    ``(*group_cols, q, value)``; a group with no values is
     absent. ``groups`` restricts the groups (default: every group present).
     """
     spark = df.sparkSession
     group_cols = list(group_cols)
     stats = kwargs.pop("stats", None)
     start = None
+    df = df.where(F.col(value_col).isNotNull() & ~F.isnan(value_col))
     if stats is None:
         # one aggregate: counts per group and the first refinement level together
         stats, start, _plan = quantiles_one_pass_start(df, value_col, probs, group_cols)
@@ -229,7 +232,7 @@ def exact_quantiles(
     rows = []
     for gk, p, klo, khi, frac in plan:
         lo, hi = float(got[(gk, klo)]), float(got[(gk, khi)])
-        rows.append((*gk, p, lo + (hi - lo) * frac))
+        rows.append((*gk, p, lo if lo == hi or frac == 0 else lo + (hi - lo) * frac))
     schema = T.StructType(
         [T.StructField(g, df.schema[g].dataType, True) for g in group_cols]
         + [T.StructField("q", T.DoubleType(), False), T.StructField("value", T.DoubleType(), True)]
@@ -250,6 +253,14 @@ def log_bucket(v: Column, sub: int = 16) -> Column:
     return (F.when(v == 0, F.lit(0)).when(v > 0, b + 1).otherwise(-(b + 1))).cast("long")
 
 
+def value_bucket(v: Column, sub: int = 16) -> Column:
+    """:func:`log_bucket` for any DOUBLE: +-inf and NaN have the outermost buckets of their own."""
+    edge = F.lit(1 << 40)
+    return (
+        F.when(F.isnan(v), edge + 1).when(v == F.lit(float("inf")), edge).when(v == F.lit(float("-inf")), -edge).otherwise(log_bucket(v, sub))
+    )
+
+
 def quantiles_one_pass_start(df: DataFrame, value_col: str, probs: list[float], group_cols=(), sub: int = 16):
     """One aggregate for (a) non-null count per group and (b) the first refinement level.
 
@@ -261,7 +272,7 @@ def quantiles_one_pass_start(df: DataFrame, value_col: str, probs: list[float],
     """
     group_cols = list(group_cols)
     v = F.col(value_col)
-    hist = df.where(v.isNotNull()).groupBy(*group_cols, log_bucket(v, sub).alias("__b")).agg(
+    hist = df.where(v.isNotNull() & ~F.isnan(v)).groupBy(*group_cols, value_bucket(v, sub).alias("__b")).agg(
         F.count(F.lit(1)).alias("c"), F.min(v).alias("lo"), F.max(v).alias("hi")
     )
     wg = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(1))
@@ -322,34 +333,26 @@ def start_from_histogram(hist: dict, targets: list[tuple[tuple, int]]) -> tuple[
     return stats, start
 
 
-def rank_cut(
-    df: DataFrame,
-    order_col: str,
-    tie_col: str,
-    quotas: dict[tuple, int],
-    group_cols=(),
-    **kwargs,
-) -> DataFrame:
-    """Per group, the ``(order, tie)`` pair of the row at rank ``quota`` (rows ranked by it).
+def rank_cut(df: DataFrame, order_col: str, quotas: dict[tuple, int], group_cols=(), **kwargs) -> dict[tuple, tuple]:
+    """Per group, the value at rank ``quota`` in the order of ``order_col``, with the rows below it
+    and the rows that share it: ``{group: (value, below, equal)}``.
 
-    Rows with ``(order, tie) <= cut`` are exactly the first ``quota`` rows of their group, the
-    same set ``row_number() over (partition by g order by order, tie) <= quota`` gives, without
-    one task holding a whole group. Returns ``(*group_cols, __cut_v, __cut_t)``.
+    Refinement ends at one value however many rows share it, so a hot value costs nothing extra.
+    Only these numbers reach the driver, one row per group.
     """
     targets = [(gk, q) for gk, q in quotas.items() if q > 0]
-    vals, tid_map = kth_smallest(df, order_col, targets, group_cols, tie_cols=[tie_col], **kwargs)
-    spark = df.sparkSession
-    schema = T.StructType(
-        [T.StructField(_TID, T.IntegerType(), False)]
-        + [T.StructField(g, df.schema[g].dataType, True) for g in group_cols]
-    )
-    tids = spark.createDataFrame([(tid, *gk) for tid, (gk, _k) in tid_map.items()], schema)
-    return vals.join(tids, _TID).select(
-        *group_cols, F.col("value").alias("__cut_v"), F.col(tie_col).alias("__cut_t")
-    )
-
-
-def within_cut(order: Column, tie: Column) -> Column:
-    """Row test against a joined ``rank_cut`` row; false where the group has no cut."""
-    cut_v, cut_t = F.col("__cut_v"), F.col("__cut_t")
-    return F.coalesce((order < cut_v) | ((order == cut_v) & (tie <= cut_t)), F.lit(False))
+    vals, tid_map = kth_smallest(df, order_col, targets, group_cols, **kwargs)
+    cuts = {tid_map[r[_TID]][0]: r["value"] for r in vals.collect()}
+    if not cuts:
+        return {}
+    table = cut_table(df, cuts, group_cols, "__at")
+    v, at = F.col(order_col), F.col("__at")
+    got = df.select(*group_cols, order_col).join(F.broadcast(table), list(group_cols))
+    got = got.groupBy(*group_cols).agg(F.count_if(v < at).alias("below"), F.count_if(v == at).alias("equal"))
+    return {_group_key(r, group_cols): (cuts[_group_key(r, group_cols)], r["below"], r["equal"]) for r in got.collect()}
+
+
+def cut_table(df: DataFrame, cuts: dict[tuple, object], group_cols, name: str = "__cut") -> DataFrame:
+    """``(*group_cols, name)``: one row per group, for a broadcast join."""
+    schema = T.StructType([T.StructField(g, df.schema[g].dataType, True) for g in group_cols] + [T.StructField(name, T.LongType(), True)])
+    return df.sparkSession.createDataFrame([(*gk, v) for gk, v in cuts.items()], schema)

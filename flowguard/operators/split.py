@@ -3,8 +3,10 @@
 Rows are ordered inside each stratum by ``md5(key | seed)``. The test share is
 ``ceil(share * n)`` rows; the train share is given to strata by floor plus largest remainder
 (ties to the lower stratum value), and each stratum's test quota is the rest of it. The
-first ``quota`` rows of a stratum in md5 order are test rows. The cut row is found with
-:func:`rank_cut` (histogram refinement), so no task ever sorts a whole stratum.
+first ``quota`` rows of a stratum in md5 order are test rows. The cut value is found with
+:func:`rank_cut` (histogram refinement), so no task ever sorts a whole stratum. Rows that share
+the cut's key are cut again by an md5 of the whole row (refined in the same way), and rows equal
+in everything by their number, so sizes are exact whatever repeats.
 """
 
 from __future__ import annotations
@@ -15,10 +17,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowguard.functions.columns import md5_order_key, md5_prefix_long
-from flowguard.operators.order_stats import prefix_histogram, rank_cut, start_from_histogram, within_cut
+from flowguard.operators.order_stats import cut_table, prefix_histogram, rank_cut, start_from_histogram
 
-_OK = "__order_md5"
 _OKH = "__order_h"
+_TIE = "__order_tie"
+_NTH = "__order_nth"
 
 
 def allocate_test_quota(counts: dict, test_share: float) -> dict:
@@ -47,29 +50,54 @@ def stratified_split(
     split_col: str = "split",
     test_value: str = "test",
     train_value: str = "train",
+    tie_cols: list[str] | None = None,
 ) -> DataFrame:
     """Label each row ``train`` / ``test``.
 
     ``df`` should be cached by the caller: it is read by the count pass, the refinement
-    passes and the final labelling.
+    passes and the final labelling. ``tie_cols`` (default: all columns) order the rows of a
+    repeated key; they are hashed only where the cut falls on such a key.
     """
-    d = df.withColumn(_OK, md5_order_key(key_col, seed)).withColumn(_OKH, md5_prefix_long(_OK))
+    d = df.withColumn(_OKH, md5_prefix_long(md5_order_key(F.coalesce(F.col(f"`{key_col}`").cast("string"), F.lit("")), seed)))
     # One pass gives the stratum sizes and the first refinement level: the md5 prefix is a
     # uniform 60-bit number, so its top 12 bits make 4096 even buckets.
     hist = prefix_histogram(d, _OKH, [strata_col], 48)
     counts = {gk: sum(c for _b, c, _l, _h in v) for gk, v in hist.items()}
     quotas = allocate_test_quota(counts, test_share)
-    targets = [(gk, q) for gk, q in quotas.items() if q > 0]
-    stats, start = start_from_histogram(hist, targets)
-    cut = rank_cut(d, _OKH, _OK, quotas, [strata_col], stats=stats, start=start)
-    # One row per stratum: a proven bound. Collected once so later reads of the split do not
-    # re-run the last refinement pass, then broadcast.
-    cut = d.sparkSession.createDataFrame(cut.collect(), cut.schema)
-    labelled = d.join(F.broadcast(cut), [strata_col], "left")
-    is_test = within_cut(F.col(_OKH), F.col(_OK))
-    return labelled.withColumn(
-        split_col, F.when(is_test, F.lit(test_value)).otherwise(F.lit(train_value))
-    ).drop(_OK, _OKH, "__cut_v", "__cut_t")
+    stats, start = start_from_histogram(hist, [(gk, q) for gk, q in quotas.items() if q > 0])
+    cuts = rank_cut(d, _OKH, quotas, [strata_col], stats=stats, start=start)
+    d = _with_cut(d, {gk: c[0] for gk, c in cuts.items()}, strata_col, "__cut")
+    is_test = F.col(_OKH) <= F.col("__cut")
+    # strata whose cut falls inside the rows of one key
+    left = {gk: quotas[gk] - below for gk, (_v, below, equal) in cuts.items() if quotas[gk] - below < equal}
+    if left:
+        cols = tie_cols if tie_cols is not None else df.columns
+        tie = md5_prefix_long(F.md5(F.concat_ws("|", F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols])), F.lit(str(seed)))))
+        at_cut = F.col(_OKH) == F.col("__cut")
+        d = d.withColumn(_TIE, F.when(at_cut, tie))
+        ties = rank_cut(d.where(at_cut), _TIE, left, [strata_col])
+        d = _with_cut(d, {gk: c[0] for gk, c in ties.items()}, strata_col, "__tie_cut")
+        tied = at_cut & F.col("__tie_cut").isNotNull()
+        last = {gk: left[gk] - below for gk, (_v, below, equal) in ties.items() if left[gk] - below < equal}
+        if last:  # rows equal in every column: any of them, by number
+            d = _with_cut(d, last, strata_col, "__last")
+            equal = tied & (F.col(_TIE) == F.col("__tie_cut")) & F.col("__last").isNotNull()
+            d = d.withColumn("__equal", F.coalesce(equal, F.lit(False)))
+            number = F.row_number().over(Window.partitionBy(strata_col).orderBy(_TIE))
+            some = d.where("`__equal`").withColumn(_NTH, number)
+            d = d.where("not `__equal`").withColumn(_NTH, F.lit(None).cast("int")).unionByName(some)
+            below = F.when(F.col("__equal"), F.col(_NTH) <= F.col("__last")).otherwise(F.col(_TIE) <= F.col("__tie_cut"))
+        else:
+            below = F.col(_TIE) <= F.col("__tie_cut")
+        is_test = F.when(tied, below).otherwise(is_test)
+    label = F.when(F.coalesce(is_test, F.lit(False)), F.lit(test_value)).otherwise(F.lit(train_value))
+    return d.withColumn(split_col, label).drop(_OKH, "__cut", _TIE, "__tie_cut", "__last", "__equal", _NTH)
+
+
+def _with_cut(d: DataFrame, cuts: dict, strata_col: str, name: str) -> DataFrame:
+    """A stratum's cut on each of its rows (one row per stratum is broadcast); null without one."""
+    table = cut_table(d, cuts, [strata_col], name).withColumnRenamed(strata_col, "__stratum")
+    return d.join(F.broadcast(table), F.col(strata_col).eqNullSafe(F.col("__stratum")), "left").drop("__stratum")
 
 
 def fit_validation_split(
@@ -105,8 +133,3 @@ def rows_per_file(max_rows: int, n_files: int) -> int:
 def seeded_sample(df: DataFrame, key: str | Column, n: int, seed: int = 42) -> DataFrame:
     """``n`` rows without replacement, chosen by seeded md5 order (TakeOrdered, no full sort)."""
     return df.orderBy(md5_order_key(key, seed)).limit(n)
-
-
-def seeded_shuffle_order(key: str | Column, seed: int = 42) -> Column:
-    """A seeded row order, for writers that must emit rows shuffled."""
-    return md5_order_key(key, seed)
