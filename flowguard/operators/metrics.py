@@ -76,59 +76,53 @@ def score_table(df: DataFrame, y: str = "y", score: str = "score", group_cols=()
 
 
 def score_bucket(score: Column, sub: int = 4096) -> Column:
-    """Deterministic, order-preserving bucket of a score (log scale, ``sub`` per binade);
-    +-inf and NaN get the outermost buckets."""
-    from flowguard.operators.order_stats import log_bucket
-
-    edge = F.lit(1 << 40)
-    return (
-        F.when(F.isnan(score), edge + 1)
-        .when(score == F.lit(float("inf")), edge)
-        .when(score == F.lit(float("-inf")), -edge)
-        .otherwise(log_bucket(score, sub))
-    )
+    """Deterministic, order-preserving bucket of a score (log scale, ``sub`` per binade); +-inf and
+    NaN get the outermost buckets."""
+    from flowguard.operators.order_stats import value_bucket
+
+    return value_bucket(score, sub)
 
 
-def cumulative_by_score(table: DataFrame, sum_cols: list[str], descending: bool = True,
-                        group_cols=(), partitions: int | None = None) -> DataFrame:
+def cumulative_by_score(table: DataFrame, sum_cols: list[str], descending: bool = True, group_cols=()) -> DataFrame:
     """Running sums of ``sum_cols`` over score order (inclusive), per group.
 
-    Two passes over the distinct-score table, no single-task window: scores fall into
-    deterministic order-preserving buckets (:func:`score_bucket`, 4096 per binade). A bucket
-    holding more than ``flowguard.curve.bucketMaxRows`` distinct scores (default 2,000,000;
-    at most rows / limit such buckets, their ids are the only thing collected) is split again
-    by a 2^24-per-binade bucket. Pass 1 totals each (bucket, sub-bucket) and turns the totals
-    into exclusive offsets (a table bounded by the bucket grid); pass 2 adds each row's running
-    sum inside its bucket to the bucket's offset. Bucket ids come from the score itself, so a
-    recomputed partition (lost executor) lands in the same bucket. ``partitions`` is accepted
-    for API compatibility.
+    Prefix sums in three levels over the distinct-score table. A score's binade, its bucket (4096
+    per binade) and its cell (4096 per bucket) follow from the score itself, so a recomputed
+    partition (lost executor) lands in the same place. Running sums inside a cell, the exclusive
+    sums of a bucket's cells and of a binade's buckets are windows whose partitions have at most
+    4096 rows at the upper levels; only the binades' totals (about 4200 at most, the range of a
+    DOUBLE's exponent) are summed in one window per group. The offsets come back by joins on the
+    cell, so no offset table is broadcast by hint.
     """
-    from flowguard.session import row_cap_for_broadcast
-
-    spark = table.sparkSession
-    limit = row_cap_for_broadcast(spark, "flowguard.curve.bucketMaxRows", 2_000_000)
-    order = F.col("score").desc() if descending else F.col("score").asc()
-    direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    t = table.withColumn("__pid", score_bucket(F.col("score")))
-    heavy = [r["__pid"] for r in t.groupBy("__pid").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > limit).select("__pid").collect()]
-    fine = score_bucket(F.col("score"), 1 << 24)
-    t = t.withColumn("__sub", F.when(F.col("__pid").isin(heavy), fine).otherwise(F.lit(0).cast("long")) if heavy else F.lit(0).cast("long"))
-    keys = [*group_cols, "__pid", "__sub"]
-    totals = t.groupBy(*keys).agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
-    wg = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(1))
-    w_off = wg.orderBy(direction("__pid"), direction("__sub")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *keys,
-        *[F.coalesce(F.sum(f"__t_{c}").over(w_off), F.lit(0)).alias(f"__o_{c}") for c in sum_cols],
-    )
-    w_loc = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = t.select("*", *[F.sum(c).over(w_loc).alias(f"__l_{c}") for c in sum_cols])
-    # offsets: one row per (group, bucket, sub-bucket) -- bounded by the bucket grid.
-    out = local.join(F.broadcast(offsets), keys)
-    return out.select(
-        *table.columns,
-        *[(F.col(f"__o_{c}") + F.col(f"__l_{c}")).alias(f"cum_{c}") for c in sum_cols],
-    )
+    fine, mid = 1 << 24, 4096
+    keys = [*group_cols, "__binade", "__bucket", "__cell"]
+    cell = score_bucket(F.col("score"), fine)
+    # truncation towards zero on both sides keeps the mirrored order of negative scores
+    up = lambda c, n: (F.signum(c) * F.floor((F.abs(c) - 1) / n)).cast("long") * 2 + (c > 0).cast("long")
+    t = table.withColumn("__cell", cell).withColumn("__bucket", up(F.col("__cell"), fine // mid)).withColumn("__binade", up(F.col("__cell"), fine))
+    order = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
+    names = {c: f"__s{i}" for i, c in enumerate(sum_cols)}
+
+    def ahead(frame: DataFrame, inside: list[str], at: str, out: str) -> DataFrame:
+        """Exclusive sums over ``at`` within ``inside``, and the rows' own totals."""
+        w = Window.partitionBy(*inside) if inside else Window.partitionBy(F.lit(1))
+        w = w.orderBy(order(at)).rowsBetween(Window.unboundedPreceding, -1)
+        return frame.select("*", *[F.coalesce(F.sum(n).over(w), F.lit(0)).alias(f"{out}{n}") for n in names.values()])
+
+    def total(frame: DataFrame, by: list[str]) -> DataFrame:
+        return frame.groupBy(*by).agg(*[F.sum(n).alias(n) for n in names.values()])
+
+    cells = t.groupBy(*keys).agg(*[F.sum(c).alias(n) for c, n in names.items()])
+    buckets = total(cells, keys[:-1])
+    binades = total(buckets, keys[:-2])
+    cells = ahead(cells, keys[:-1], "__cell", "__a").drop(*names.values())
+    buckets = ahead(buckets, keys[:-2], "__bucket", "__b").drop(*names.values())
+    binades = ahead(binades, list(group_cols), "__binade", "__c").drop(*names.values())
+    offsets = cells.join(buckets, keys[:-1]).join(binades, keys[:-2])
+    offsets = offsets.select(*keys, *[(F.col(f"__a{n}") + F.col(f"__b{n}") + F.col(f"__c{n}")).alias(n) for n in names.values()])
+    inside = Window.partitionBy(*keys).orderBy(order("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = t.select("*", *[F.sum(c).over(inside).alias(f"__l{n}") for c, n in names.items()])
+    return local.join(offsets, keys).select(*table.columns, *[(F.col(n) + F.col(f"__l{n}")).alias(f"cum_{c}") for c, n in names.items()])
 
 
 def curve_table(df: DataFrame, y: str = "y", score: str = "score", group_cols=()) -> DataFrame:
