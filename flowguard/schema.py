@@ -64,26 +64,14 @@ def dedup_names(raw_names) -> list[str]:
 
 def trim_headers(df: DataFrame) -> DataFrame:
     """Strip spaces around header names; later repeats of one name become ``name.1``, ..."""
-    seen: dict[str, int] = {}
-    names = []
-    for raw in df.columns:
-        name = raw.strip()
-        if name in seen:
-            seen[name] += 1
-            name = f"{name}.{seen[name]}"
-        else:
-            seen[name] = 0
-        names.append(name)
+    names = dedup_names(df.columns)
     return df.toDF(*names) if names != list(df.columns) else df
 
 
 def first_existing(columns: Iterable[str], candidates: Iterable[str]) -> str | None:
-    """First candidate present among the (trimmed) column names."""
-    present = {str(c).strip() for c in columns}
-    for candidate in candidates:
-        if candidate in present:
-            return candidate
-    return None
+    """Of the candidates, in their order, the first that is a (trimmed) column name."""
+    names = frozenset(str(c).strip() for c in columns)
+    return next((c for c in candidates if c in names), None)
 
 
 def detect_label_column(columns: Iterable[str]) -> str:

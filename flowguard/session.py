@@ -50,6 +50,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Is there such a file or folder; a store that can't be asked raises."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def materialize(df: DataFrame, how: str = "cache") -> DataFrame:
     """Keep a DataFrame that several jobs read.
 

@@ -1,34 +1,43 @@
 """CSV flow sources.
 
 Files are listed with the ``binaryFile`` source and only ``path``/``length`` selected, so the
-listing reads no file bytes. Each file is read with a header, every column as text, the
-missing-value texts turned to null, and tagged with its file name; files are unioned by
-column name (a column missing in one file is null there).
+listing reads no file bytes. One distributed pass finds each file's header line and whether it is
+valid UTF-8; files that share both are read as one scan with every column as text, so jobs and plan
+size follow the number of different headers, not the number of files. Missing-value texts become
+null, rows are tagged with their file's name, and the groups are unioned by column name (a column
+missing in one group is null there).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from flowguard.functions.columns import na_to_null
-from flowguard.operators.split import rows_per_file, seeded_sample
-from flowguard.schema import SOURCE_FILE_COLUMN, dedup_names, trim_headers
+from flowguard.operators.split import head_per_group, rows_per_file, seeded_sample
+from flowguard.schema import SOURCE_FILE_COLUMN, dedup_names
+from flowguard.session import path_exists
+
+_BLOCK, _ROW = "__file_block", "__file_row"
 
 
 def find_csv_files(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Recursive, sorted ``*.csv`` listing as ``(path, size)``; empty when absent."""
-    empty = spark.createDataFrame([], "path STRING, size BIGINT")
-    try:
-        listing = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", "*.csv")
-            .option("recursiveFileLookup", "true")
-            .load(data_dir)
-            .select("path", F.col("length").alias("size"))
-        )
-    except Exception:  # noqa: BLE001 - a missing folder is an empty listing
-        return empty
+    """Recursive, sorted ``*.csv`` listing as ``(path, size)``; empty when the folder is absent.
+
+    Any other failure (unknown scheme, no permission, store out of reach) is raised.
+    """
+    if not path_exists(spark, data_dir):
+        return spark.createDataFrame([], "path STRING, size BIGINT")
+    listing = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.csv")
+        .option("recursiveFileLookup", "true")
+        .load(data_dir)
+        .select("path", F.col("length").alias("size"))
+    )
     return listing.orderBy("path")
 
 
@@ -39,33 +48,50 @@ def csv_file_table(spark: SparkSession, data_dir: str) -> DataFrame:
     return find_csv_files(spark, data_dir).select("path", format_bytes(F.col("size")).alias("size"))
 
 
-def file_encoding(spark: SparkSession, path: str) -> str:
-    """``UTF-8`` when every line is valid UTF-8, else latin-1.
+def _decoded(encoded: str) -> Column:
+    """A path or name out of ``_metadata``, which holds it URL-encoded (a plus stands for itself)."""
+    return F.url_decode(F.replace(F.col(encoded), F.lit("+"), F.lit("%2B")))
 
-    The text source keeps raw bytes per line, so the check is one distributed pass over the
-    file's splits (no whole-file record, no size limit). Pass ``encoding`` to skip it.
+
+def file_groups(spark: SparkSession, paths: list[str], encoding: str | None = None) -> list[tuple[list[str], str, list[str]]]:
+    """``(column names, encoding, files)`` of files that can be read together, from one job.
+
+    S2: a file is UTF-8 when all its lines are, else latin-1. The text source keeps the bytes of
+    each line, so the check is a pass over the splits (no whole-file record). Q20: names are trimmed,
+    later repeats become ``A.1``. Only one row per file comes back.
     """
-    bad = spark.read.text(path).agg(F.count_if(~F.is_valid_utf8("value")).alias("bad")).collect()[0]["bad"]
-    return "UTF-8" if not bad else "ISO-8859-1"
+    lines = spark.read.text(paths).select(_decoded("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"), "value")
+    head = F.min_by(F.when(F.col("at") == 0, F.col("value").cast("binary")), F.when(F.col("at") == 0, F.col("n")))
+    shapes = lines.groupBy("path").agg(head.alias("header"), F.count_if(~F.is_valid_utf8("value")).alias("bad"))
+    groups: dict[tuple[bytes, str], list[str]] = {}
+    for r in sorted(shapes.collect(), key=lambda r: r["path"]):
+        enc = encoding or ("UTF-8" if not r["bad"] else "ISO-8859-1")
+        groups.setdefault((bytes(r["header"] or b""), enc), []).append(r["path"])
+    out = []
+    for (header, enc), files in sorted(groups.items(), key=lambda g: g[1][0]):
+        fields = next(csv.reader([header.decode(enc).lstrip("﻿").rstrip("\r")]), [])
+        out.append((dedup_names(fields), enc, files))
+    return out
+
+
+def read_group(spark: SparkSession, names: list[str], encoding: str, files: list[str]) -> DataFrame:
+    """Files of one header and encoding as one scan: all columns as text, NA texts as null
+    (Q22), the file's name in ``__source_csv``, and the row's place in the file."""
+    schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))])
+    df = spark.read.schema(schema).option("header", "true").option("encoding", encoding).csv(files)
+    place = [F.col("_metadata.file_block_start").alias(_BLOCK), F.monotonically_increasing_id().alias(_ROW)]
+    return df.select(*[na_to_null(c).alias(n) for c, n in zip(df.columns, names, strict=True)], _decoded("_metadata.file_name").alias(SOURCE_FILE_COLUMN), *place)
 
 
 def read_flow_csv(spark: SparkSession, path: str, nrows: int | None = None, encoding: str | None = None) -> DataFrame:
     """One CSV file, header row, all columns as text, NA texts as null, trimmed headers."""
-    enc = encoding or file_encoding(spark, path)
-    reader = spark.read.option("encoding", enc).option("inferSchema", "false")
-    df = reader.option("header", "true").csv(path)
-    # Q20: Spark renames repeated headers by position (' A,B, A' -> ' A0','B',' A2'); take the
-    # raw header line (first row of a header-less read, a one-row job) and name columns the
-    # pandas way: trimmed, later repeats as 'A.1'.
-    first = reader.option("header", "false").csv(path).first()
-    if first is not None and len(first) == len(df.columns):
-        df = df.toDF(*dedup_names(list(first)))
-    else:
-        df = trim_headers(df)
-    df = df.select(*[na_to_null(F.col(f"`{c}`")).alias(c) for c in df.columns])
-    if nrows is not None:
-        df = df.limit(nrows)  # S4: first rows of the file (limit pushed into the scan)
-    return df
+    groups = file_groups(spark, [path], encoding)
+    if not groups:
+        raise ValueError(f"{path} has no header line")
+    df = read_group(spark, *groups[0])
+    if nrows is not None:  # S4: first rows of the file
+        df = df.orderBy(_BLOCK, _ROW).limit(nrows)
+    return df.drop(SOURCE_FILE_COLUMN, _BLOCK, _ROW)
 
 
 def load_traffic_csvs(spark: SparkSession, data_dir: str, max_rows: int | None = None, seed: int = 42,
@@ -74,14 +100,17 @@ def load_traffic_csvs(spark: SparkSession, data_dir: str, max_rows: int | None =
     files = [r["path"] for r in find_csv_files(spark, data_dir).collect()]
     if not files:
         raise FileNotFoundError(f"no CSV file under {data_dir}")
-    per_file = rows_per_file(max_rows, len(files)) if max_rows is not None else None
-    frames = []
-    for path in files:
-        df = read_flow_csv(spark, path, per_file, encoding)
-        frames.append(df.withColumn(SOURCE_FILE_COLUMN, F.element_at(F.split(F.lit(path), "/"), -1)))
-    data = frames[0]
-    for f in frames[1:]:
-        data = data.unionByName(f, allowMissingColumns=True)
+    data = None
+    for names, enc, paths in file_groups(spark, files, encoding):
+        part = read_group(spark, names, enc, paths)
+        data = part if data is None else data.unionByName(part, allowMissingColumns=True)
+    if data is None:
+        raise ValueError(f"the CSV files under {data_dir} have no header line")
+    tail = [SOURCE_FILE_COLUMN, _BLOCK, _ROW]
+    data = data.select(*[F.col(f"`{c}`") for c in data.columns if c not in tail], *tail)
+    if max_rows is not None:
+        data = head_per_group(data, SOURCE_FILE_COLUMN, [_BLOCK, _ROW], rows_per_file(max_rows, len(files)))
+    data = data.drop(_BLOCK, _ROW)
     if max_rows is not None:
         key = F.to_json(F.struct(*[F.col(f"`{c}`") for c in data.columns]))
         data = seeded_sample(data, key, max_rows, seed)

@@ -7,6 +7,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowguard.session import path_exists
+
 
 def save_table(df: DataFrame, path: str, csv: bool = True, json_twin: bool = True) -> None:
     """A (small) result table as one CSV file with header and a JSON twin."""
@@ -50,13 +52,13 @@ def output_checklist(spark: SparkSession, out_dir: str, include_mask_ablation: b
     """Required output names left-joined to the listing of the output folder."""
     names = list(REQUIRED_OUTPUTS) + (["mask_ratio_ablation"] if include_mask_ablation else [])
     expected = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "pos INT, name STRING")
-    try:
+    if path_exists(spark, out_dir):
         listing = (
             spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(out_dir)
             .select(F.regexp_extract("path", r"/([^/]+)\.(csv|json)/[^/]+$", 1).alias("name"))
             .where(F.col("name") != "").distinct()
         )
-    except Exception:  # noqa: BLE001 - empty folder
+    else:
         listing = spark.createDataFrame([], "name STRING")
     return (
         expected.join(listing.withColumn("present", F.lit(True)), "name", "left")
