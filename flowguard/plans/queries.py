@@ -157,6 +157,36 @@ def q_m20_prepare(spark, sf_dir):
     return _round_all(out, ["row_key", "split", "y", "label_raw"])
 
 
+def text_flows(spark, sf_dir):
+    """The line-item flows as a CSV reader brings them: all columns text, ports as ``7``, ``07`` and
+    ``7.0``, and a session id above 2**53."""
+    f = flows_lineitem(spark, sf_dir)
+    f = f.select(*[F.col(c).cast("string").alias(c) for c in f.columns])
+    kind, port = F.crc32("Flow ID") % 3, F.col("Destination Port")
+    spelled = F.when(kind == 0, F.concat(port, F.lit(".0"))).when(kind == 1, F.concat(F.lit("0"), port)).otherwise(port)
+    return f.withColumn("Destination Port", spelled)
+
+
+def q_m20_prepare_text(spark, sf_dir):
+    out, _fit = prepare_flows(text_flows(spark, sf_dir), key_col="Flow ID")
+    return _round_all(out, ["row_key", "split", "y", "label_raw"])
+
+
+def q_m20_transform_new_rows(spark, sf_dir):
+    """Fit on the typed rows, transform the same rows as text and without a label."""
+    _out, fit = prepare_flows(flows_lineitem(spark, sf_dir), key_col="Flow ID")
+    new = fit.transform(text_flows(spark, sf_dir).drop("Label").dropDuplicates())
+    return _round_all(new.drop("split", "y", "label_raw"), ["row_key"])
+
+
+def q_a3_dedup_text_ids(spark, sf_dir):
+    """Rows told apart by 64-bit ids in text, spelled with and without ``.0``."""
+    li = table(spark, sf_dir, "lineitem")
+    big = (F.lit(9007199254740992) + F.col("l_orderkey") % 64).cast("string")
+    rows = li.select(F.when(F.col("l_linenumber") % 2 == 0, F.concat(big, F.lit(".0"))).otherwise(big).alias("id"), F.col("l_returnflag").alias("flag"))
+    return clean.drop_duplicate_rows(clean.canonical_numbers(rows))
+
+
 def q_m21_prepare_all(spark, sf_dir):
     out, _fit = prepare_flows(flows_events(spark, sf_dir), key_col="Flow ID", fit_scope="all")
     return _round_all(out, ["row_key", "split", "y", "label_raw"])
@@ -211,6 +241,20 @@ def q_w4_split(spark, sf_dir):
     return s.select(F.col("Flow ID").alias("flow_id"), "y", "split")
 
 
+def q_w4_split_repeated_keys(spark, sf_dir):
+    """Keys that repeat (order numbers, null for a third of the rows): exact shares all the same."""
+    f = materialize(_labelled_lineitem_keys(spark, sf_dir))
+    s = split.stratified_split(f, "k", "y", 0.25, 42)
+    rows = s.groupBy("y", "split").agg(F.count(F.lit(1)).alias("n"))
+    return rows
+
+
+def _labelled_lineitem_keys(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    key = F.when(F.col("l_linenumber") % 3 != 0, (F.col("l_orderkey") % 50).cast("string"))
+    return li.select(key.alias("k"), "l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") == "N", 0).otherwise(1).alias("y"))
+
+
 def q_w5_fit_valid_split(spark, sf_dir):
     f = materialize(_labelled_lineitem(spark, sf_dir).select("Flow ID", "y"))
     s = split.stratified_split(f, "Flow ID", "y", 0.25, 42)
@@ -503,11 +547,14 @@ REGISTRY = {
     "u1_union_by_name": q_u1_union_by_name,
     "p20_mask_twin": q_p20_mask_twin,
     "a3_dedup": q_a3_dedup,
+    "a3_dedup_text_ids": q_a3_dedup_text_ids,
     "a4_duplicate_rows": q_a4_duplicate_rows,
     "a5_medians": q_a5_medians,
     "a6_moments": q_a6_moments,
     "p7_usable_columns": q_p7_usable_columns,
     "m20_prepare": q_m20_prepare,
+    "m20_prepare_text": q_m20_prepare_text,
+    "m20_transform_new_rows": q_m20_transform_new_rows,
     "m21_prepare_all": q_m21_prepare_all,
     "a1_edge_counts": q_a1_edge_counts,
     "a2_host_degrees": q_a2_host_degrees,
@@ -515,6 +562,7 @@ REGISTRY = {
     "j_graph_lookup": q_j_graph_lookup,
     "w3_in_sample_graph": q_w3_in_sample_graph,
     "w4_stratified_split": q_w4_split,
+    "w4_split_repeated_keys": q_w4_split_repeated_keys,
     "w5_fit_valid_split": q_w5_fit_valid_split,
     "a8_raw_label_counts": q_a8_raw_label_counts,
     "a9_top_values": q_a9_top_values,

@@ -8,7 +8,8 @@ Spark queries.
 
 from __future__ import annotations
 
-from flowguard.functions.columns import NUMBER_PATTERN
+# Number text as the reader of a CSV takes it, written here on its own.
+NUMBER_PATTERN = r"^\s*[-+]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][-+]?[0-9]+)?|[iI][nN][fF]|[iI][nN][fF][iI][nN][iI][tT][yY]|[nN][aA][nN])\s*$"
 
 FLOWS_LINEITEM = """
 flows_lineitem AS (
@@ -675,6 +676,22 @@ def _bigint_counts(sql: str) -> str:
         i = k
 
 
+W4_REPEATED_SQL = """
+WITH c AS (SELECT CASE WHEN l_returnflag = 'N' THEN 0 ELSE 1 END AS y, count(*) AS n FROM lineitem GROUP BY 1),
+t AS (SELECT *, sum(n) OVER () AS total FROM c),
+q AS (SELECT y, n, total, total - CAST(ceil(0.25 * total) AS BIGINT) AS n_train FROM t),
+f AS (SELECT y, n, n_train, CAST(floor(n * n_train / total) AS BIGINT) AS base, n * n_train / total - floor(n * n_train / total) AS rest FROM q),
+r AS (SELECT *, row_number() OVER (ORDER BY rest DESC, y) AS place, n_train - sum(base) OVER () AS missing FROM f),
+d AS (SELECT y, n, base + CASE WHEN place <= missing THEN 1 ELSE 0 END AS train FROM r)
+SELECT y, 'train' AS split, CAST(train AS BIGINT) AS n FROM d
+UNION ALL SELECT y, 'test', CAST(n - train AS BIGINT) FROM d
+"""
+
+A3_TEXT_IDS_SQL = """
+SELECT DISTINCT CAST(9007199254740992 + l_orderkey % 64 AS VARCHAR) AS id, l_returnflag AS flag FROM lineitem
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: _bigint_counts(v) for k, v in _oracle_sql().items()}
 
@@ -693,6 +710,8 @@ def _oracle_sql() -> dict[str, str]:
         "a6_moments": a6_sql(),
         "p7_usable_columns": p7_sql(),
         "m20_prepare": m20_sql(),
+        "m20_prepare_text": m20_sql(),
+        "m20_transform_new_rows": f"SELECT * EXCLUDE (split, y, label_raw) FROM ({m20_sql()})",
         "m21_prepare_all": m21_sql(),
         "a1_edge_counts": A1_EDGE_SQL,
         "a2_host_degrees": A2_SQL,
@@ -700,6 +719,8 @@ def _oracle_sql() -> dict[str, str]:
         "j_graph_lookup": j_sql(),
         "w3_in_sample_graph": w3_sql(),
         "w4_stratified_split": W4_SQL,
+        "w4_split_repeated_keys": W4_REPEATED_SQL,
+        "a3_dedup_text_ids": A3_TEXT_IDS_SQL,
         "w5_fit_valid_split": W5_SQL,
         "a8_raw_label_counts": A8_SQL,
         "a9_top_values": A9_SQL,

@@ -77,20 +77,52 @@ def test_split_sizes_are_exact(spark, n, share):
     assert s.count() == n
 
 
-def test_rank_cut_equals_row_number(spark):
+def test_rank_cut_counts_below_and_equal(spark):
     rng = np.random.default_rng(3)
-    vals = rng.integers(0, 50, 3000)
-    pdf = pd.DataFrame({"g": rng.integers(0, 3, 3000), "v": vals.astype("int64"), "t": [f"{i:05d}" for i in range(3000)]})
-    df = spark.createDataFrame(pdf)
-    quotas = {(0,): 17, (1,): 500, (2,): 999}
-    cut = order_stats.rank_cut(df, "v", "t", quotas, ["g"], bins=4, final_rows=20)
-    got = df.join(F.broadcast(cut), ["g"]).where(order_stats.within_cut(F.col("v"), F.col("t")))
-    got_keys = {r["t"] for r in got.collect()}
-    want = set()
-    for g, q in quotas.items():
-        sub = pdf[pdf.g == g[0]].sort_values(["v", "t"])
-        want |= set(sub.t.head(q))
-    assert got_keys == want
+    pdf = pd.DataFrame({"g": rng.integers(0, 3, 3000), "v": rng.integers(0, 50, 3000).astype("int64")})
+    quotas = {(0,): 17, (1,): 500, (2,): 900}
+    got = order_stats.rank_cut(spark.createDataFrame(pdf), "v", quotas, ["g"], bins=4, final_rows=20)
+    for (g,), q in quotas.items():
+        v = np.sort(pdf[pdf.g == g].v.to_numpy())
+        assert got[(g,)] == (v[q - 1], (v < v[q - 1]).sum(), (v == v[q - 1]).sum())
+
+
+def test_split_is_exact_when_keys_repeat(spark):
+    from flowguard.operators.split import stratified_split
+
+    one_key = spark.range(1000).select(F.lit("k").alias("k"), F.col("id").alias("row"), F.lit(1).alias("y"))
+    ten_keys = spark.range(1200).select((F.col("id") % 10).cast("string").alias("k"), F.col("id").alias("row"), F.lit(1).alias("y"))
+    hot = spark.range(2000).select(F.when(F.col("id") < 600, None).otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("row"), (F.col("id") % 2).cast("int").alias("y"))
+    equal = spark.range(800).select(F.lit("k").alias("k"), (F.col("id") % 2).alias("row"), F.lit(0).alias("y"))
+    for df, n in ((one_key, 1000), (ten_keys, 1200), (hot, 2000), (equal, 800)):
+        out = stratified_split(df, "k", "y", 0.25, 42)
+        assert out.columns == [*df.columns, "split"]
+        rows = out.groupBy("split").count().collect()
+        assert {r["split"]: r["count"] for r in rows} == {"test": n // 4, "train": n - n // 4}
+    again = {r["row"] for r in stratified_split(hot.repartition(3), "k", "y", 0.25, 42).where("split = 'test'").collect()}
+    assert again == {r["row"] for r in stratified_split(hot, "k", "y", 0.25, 42).where("split = 'test'").collect()}
+
+
+def test_quantiles_with_infinite_and_nan_scores(spark):
+    values = [1.0, 2.0, float("inf"), float("-inf"), float("nan"), 3.0, None]
+    df = spark.createDataFrame([(v,) for v in values], "s DOUBLE")
+    got = {r["q"]: r["value"] for r in order_stats.exact_quantiles(df, "s", [0.0, 0.5, 0.75, 1.0]).collect()}
+    assert got == {0.0: float("-inf"), 0.5: 2.0, 0.75: 3.0, 1.0: float("inf")}
+
+
+def test_whole_numbers_keep_their_digits(spark):
+    from flowguard.functions.columns import key_text, number_spelling
+    from flowguard.operators.clean import canonical_numbers, drop_duplicate_rows
+
+    text = ["9007199254740992", "9007199254740993", " 080", "80.0", "+80", "-0", "-007.00", "1e3", "1000", "2.50", "2.5", None]
+    df = spark.createDataFrame([(t,) for t in text], "v STRING")
+    assert [r["s"] for r in df.select(number_spelling("v").alias("s")).collect()] == [
+        "9007199254740992", "9007199254740993", "80", "80", "80", "0", "-7", "1000", "1000", "2.5", "2.5", None]
+    assert drop_duplicate_rows(canonical_numbers(df)).count() == 8
+    ids = spark.createDataFrame([(9007199254740992,), (9007199254740993,)], "v BIGINT")
+    assert [r["k"] for r in ids.select(key_text("v", ids.schema["v"].dataType).alias("k")).collect()] == text[:2]
+    ports = spark.createDataFrame([("80.0",), ("080",), ("10.0.0.1",), ("",), (None,)], "v STRING")
+    assert [r["k"] for r in ports.select(key_text("v", ports.schema["v"].dataType).alias("k")).collect()] == ["80", "80", "10.0.0.1", "", "unknown"]
 
 
 def test_exact_quantiles_match_numpy_with_hot_value(spark):
@@ -119,7 +151,7 @@ def test_auc_and_curves_against_brute_force(spark):
 
 def test_cumulative_sums_cross_range_partitions(spark):
     pdf = pd.DataFrame({"score": np.arange(1000, dtype=float), "pos": np.ones(1000, dtype="int64")})
-    out = metrics.cumulative_by_score(spark.createDataFrame(pdf), ["pos"], descending=True, partitions=7)
+    out = metrics.cumulative_by_score(spark.createDataFrame(pdf), ["pos"], descending=True)
     got = {r["score"]: r["cum_pos"] for r in out.collect()}
     assert all(got[float(i)] == 1000 - i for i in range(1000))
 
@@ -169,18 +201,17 @@ def test_csv_repeated_headers_and_number_spellings_dedup(spark, tmp_path):
     assert r["duplicate_rows"] == 1 and r["benign_samples"] == 1
 
 
-def test_cumulative_sums_with_heavy_buckets_split(spark):
-    # 3000 distinct scores inside one narrow interval: one 4096-per-binade bucket holds them all
-    pdf = pd.DataFrame({"score": 1.0 + np.arange(3000) * 1e-9, "pos": np.ones(3000, dtype="int64")})
-    try:
-        spark.conf.set("flowguard.curve.bucketMaxRows", "100")
-        out = metrics.cumulative_by_score(spark.createDataFrame(pdf), ["pos"], descending=False)
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        got = {round(r["score"], 12): r["cum_pos"] for r in out.collect()}
-    finally:
-        spark.conf.unset("flowguard.curve.bucketMaxRows")
-    assert all(got[round(1.0 + i * 1e-9, 12)] == i + 1 for i in range(3000))
-    assert "__sub" in plan
+def test_cumulative_sums_of_close_and_extreme_scores(spark):
+    # 3000 distinct scores inside one narrow interval share a bucket and differ in their cells
+    close = 1.0 + np.arange(3000) * 1e-9
+    wild = np.array([-np.inf, -1e300, -2.5, -1e-300, 0.0, 1e-300, 2.5, 1e300, np.inf])
+    for scores in (close, wild):
+        pdf = pd.DataFrame({"score": scores, "pos": np.ones(len(scores), dtype="int64")})
+        for down in (False, True):
+            out = metrics.cumulative_by_score(spark.createDataFrame(pdf), ["pos"], descending=down)
+            got = [r["cum_pos"] for r in out.orderBy("score").collect()]
+            want = list(range(1, len(scores) + 1))
+            assert got == (want[::-1] if down else want)
 
 
 def test_graph_join_narrow_path_equals_broadcast(spark):
@@ -218,3 +249,22 @@ def test_load_or_build_falls_back_to_demo_only_when_allowed(spark, tmp_path):
     (tmp_path / "real.csv").write_text("Label,x\nBENIGN,1\n")
     df2, source2 = load_or_build(spark, str(tmp_path), demo_data=True)
     assert source2 == "files" and df2.count() == 1
+
+
+def test_unreachable_folder_is_an_error_and_jobs_follow_headers(spark, tmp_path):
+    from flowguard.sources.csv import file_groups, load_or_build
+
+    with pytest.raises(Exception, match="nosuchscheme"):
+        load_or_build(spark, "nosuchscheme://x/y", demo_data=True)
+    (tmp_path / "d").mkdir()
+    for i in range(12):
+        head = "Label,a" if i % 3 else " Label , caf\xe9"
+        (tmp_path / "d" / f"f {i:02d}+.csv").write_bytes(f"{head}\nBENIGN,{i}\nX,{i}\n".encode("latin1"))
+    files = sorted(str(p) for p in (tmp_path / "d").iterdir())
+    groups = file_groups(spark, files)
+    assert sorted((names, enc, len(paths)) for names, enc, paths in groups) == [(["Label", "a"], "UTF-8", 8), (["Label", "caf\xe9"], "ISO-8859-1", 4)]
+    df = load_traffic_csvs(spark, str(tmp_path / "d"))
+    assert df.columns == ["Label", "caf\xe9", "a", "__source_csv"] and df.count() == 24
+    assert {r["__source_csv"] for r in df.collect()} == {f"f {i:02d}+.csv" for i in range(12)}
+    capped = load_traffic_csvs(spark, str(tmp_path / "d"), max_rows=12)
+    assert capped.count() == 12 and {r["Label"] for r in capped.collect()} == {"BENIGN"}

@@ -1,7 +1,9 @@
-"""Preparation, graph features and report artifacts (mirrors the reference's preprocessing tests)."""
+"""Preparation of typed and text tables, graph features, report tables."""
 
+import math
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from flowguard.operators.graph import apply_graph, fit_graph
@@ -10,63 +12,81 @@ from flowguard.plans.prepare import prepare_flows
 from flowguard.schema import FlowSchema
 from flowguard.sources import sinks
 from flowguard.sources.demo import build_demo_flows
-
-
-def _no_nan(df, cols):
-    row = df.agg(*[F.count_if(F.col(f"`{c}`").isNull() | F.isnan(F.col(f"`{c}`"))).alias(f"c{i}") for i, c in enumerate(cols)]).collect()[0]
-    return all(v == 0 for v in row)
-
-
-def test_demo_data_can_be_prepared(spark):
-    raw = build_demo_flows(spark, 120, 7)
-    out, fit = prepare_flows(raw, test_share=0.25, seed=7, fit_scope="all")
-    assert out.columns[4:] == fit.feature_names
-    assert set(r["y"] for r in out.select("y").distinct().collect()) <= {0, 1}
-    assert set(r["label_raw"] for r in out.select("label_raw").distinct().collect()) <= {"BENIGN", "Attack"}
-    assert _no_nan(out, fit.feature_names)
-
-
-def test_dataframe_preparation_uses_train_only_statistics(spark):
-    raw = build_demo_flows(spark, 120, 17)
-    out, fit = prepare_flows(raw, test_share=0.25, seed=17)
-    counts = {r["split"]: r["count"] for r in out.groupBy("split").count().collect()}
-    assert counts == {"train": 90, "test": 30}
-    assert _no_nan(out, fit.feature_names)
-    # scaler fitted on train only: train features have mean 0
-    means = out.where("split = 'train'").agg(*[F.avg(F.col(f"`{c}`")) for c in fit.feature_names]).collect()[0]
-    assert all(abs(m) < 1e-9 for m in means)
-
-
-def test_graph_feature_builder_does_not_count_test_only_ip(spark):
-    train = spark.createDataFrame(
-        [("10.0.0.1", "192.168.1.1", 5000, 80, "BENIGN"), ("10.0.0.1", "192.168.1.2", 5001, 443, "BENIGN")],
-        "`Source IP` STRING, `Destination IP` STRING, `Source Port` BIGINT, `Destination Port` BIGINT, Label STRING",
-    )
-    test = spark.createDataFrame(
-        [("10.0.0.9", "192.168.1.9", 5999, 9999, "Attack")],
-        "`Source IP` STRING, `Destination IP` STRING, `Source Port` BIGINT, `Destination Port` BIGINT, Label STRING",
-    )
-    schema = FlowSchema.resolve(train.columns)
-    g = fit_graph(train, schema)
-    row = apply_graph(test, g).collect()[0]
-    for name in schema.graph_feature_names:
-        assert row[name] == 0.0
-    seen = apply_graph(train, g).orderBy("Source Port").collect()[0]
-    assert abs(seen["graph_src_out_count"] - __import__("math").log1p(2)) < 1e-12
-    assert abs(seen["graph_src_unique_dst"] - __import__("math").log1p(2)) < 1e-12
-
-
-def test_graph_features_are_added_when_ip_columns_exist(spark):
-    raw = build_demo_flows(spark, 8, 13).withColumn("rn", F.monotonically_increasing_id())
-    pdf = raw.toPandas()
-    pdf["Source IP"] = ["10.0.0.1", "10.0.0.1", "10.0.0.2", "10.0.0.3", "10.0.0.3", "10.0.0.3", "10.0.0.4", "10.0.0.5"]
-    pdf["Destination IP"] = ["192.168.1.10"] * 2 + ["192.168.1.20"] * 2 + ["192.168.1.30"] * 3 + ["192.168.1.40"]
-    pdf["Source Port"] = list(range(5000, 5008))
-    pdf["Destination Port"] = [80, 80, 443, 443, 22, 22, 22, 8080]
-    df = spark.createDataFrame(pdf.drop(columns=["rn"]))
-    out, fit = prepare_flows(df, fit_scope="all")
-    assert fit.graph_feature_count == 8
-    assert any(n.startswith("graph_") for n in out.columns)
+from flowguard.sources.tables import flows_lineitem
+from tests.conftest import SF_SMALL
+
+FLOWS = "`Src IP` STRING, `Dst IP` STRING, `Src Port` STRING, `Dst Port` STRING, Bytes STRING, Class STRING"
+
+
+def net(spark, rows, schema=FLOWS):
+    return spark.createDataFrame(rows, schema)
+
+
+def rounded(df, meta=("split",)):
+    return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.drop(*meta).collect())
+
+
+@pytest.mark.parametrize("scope, labels", [("all", {"BENIGN", "Attack"}), ("train", {"BENIGN", "Attack"})])
+def test_prepared_demo_rows_are_complete(spark, scope, labels):
+    out, fit = prepare_flows(build_demo_flows(spark, 200, 3), test_share=0.3, seed=3, fit_scope=scope)
+    rows = out.collect()
+    assert sum(r["split"] == "test" for r in rows) == 60 and len(rows) == 200
+    assert {r["label_raw"] for r in rows} == labels and {r["y"] for r in rows} == {0, 1}
+    assert list(out.columns) == ["row_key", "split", "y", "label_raw", *fit.feature_names]
+    for i, _ in enumerate(fit.feature_names, 4):
+        train = [r[i] for r in rows if r["split"] == "train"]
+        assert all(v is not None and math.isfinite(v) for v in train)
+        assert abs(sum(train) / len(train)) < 1e-9  # centred on the training rows
+
+
+def test_lookups_of_unseen_and_seen_keys(spark):
+    seen = net(spark, [("a", "x", "1", "53", "9", "benign"), ("a", "y", "2", "53.0", "8", "benign"), ("b", "x", "1", "080", "7", "flood")])
+    g = fit_graph(seen, FlowSchema.resolve(seen.columns))
+    new = net(spark, [("a", "x", "7", "80", "1", None), ("zz", "zz", "9", "9", "1", None), (None, "x", None, "53", "1", None)])
+    rows = {r["Src IP"]: r for r in apply_graph(new, g, log1p=False).collect()}
+    names = ["src_out_count", "dst_in_count", "edge_count", "src_unique_dst", "dst_unique_src", "dst_port_count", "src_dst_port_count", "src_port_count"]
+    assert [rows["a"][f"graph_{n}"] for n in names] == [2, 2, 1, 2, 2, 1, 0, 0]
+    assert [rows["zz"][f"graph_{n}"] for n in names] == [0] * 8
+    assert [rows[None][f"graph_{n}"] for n in names] == [0, 2, 0, 0, 2, 2, 0, 0]
+
+
+def text_flows(spark):
+    """The line-item flows as a CSV reader would bring them: all columns text, ports spelled in
+    several ways, ids above 2**53."""
+    f = flows_lineitem(spark, SF_SMALL)
+    f = f.select(*[F.col(c).cast("string").alias(c) for c in f.columns])
+    odd = F.crc32("Flow ID") % 3
+    port = F.col("Destination Port")
+    f = f.withColumn("Destination Port", F.when(odd == 0, F.concat(port, F.lit(".0"))).when(odd == 1, F.concat(F.lit("0"), port)).otherwise(port))
+    return f.withColumn("Session", (F.lit(9007199254740992) + F.crc32("Flow ID") % 4096).cast("string"))
+
+
+@pytest.mark.parametrize("scope", ["train", "all"])
+def test_transform_of_the_fitted_rows_equals_the_prepared_table(spark, scope):
+    raw = text_flows(spark)
+    out, fit = prepare_flows(raw, key_col="Flow ID", fit_scope=scope)
+    again = fit.transform(raw.dropDuplicates())
+    part = "split = 'train'" if scope == "train" else "true"
+    keys = out.where(part).select("row_key")
+    assert rounded(again.join(keys, "row_key", "left_semi")) == rounded(out.where(part))
+    assert out.agg(F.count_distinct(F.round("graph_dst_port_count", 6))).first()[0] > 3
+
+
+def test_transform_needs_no_label(spark):
+    raw = text_flows(spark).limit(400)
+    _, fit = prepare_flows(raw, key_col="Flow ID")
+    got = fit.transform(raw.drop("Label"))
+    assert got.where("y is null and label_raw is null").count() == raw.count()
+    assert rounded(got, ("split", "y", "label_raw")) == rounded(fit.transform(raw), ("split", "y", "label_raw"))
+    fewer = fit.transform(raw.drop("Label", "Source Port", "Tax"))
+    assert fewer.columns == got.columns and fewer.count() == raw.count()
+
+
+def test_graph_features_need_the_roles(spark):
+    _, plain = prepare_flows(build_demo_flows(spark, 60, 5))
+    hosts = build_demo_flows(spark, 60, 5).withColumns({"Source IP": F.concat(F.lit("h"), F.monotonically_increasing_id() % 7), "Destination IP": F.lit("sink")})
+    _, with_hosts = prepare_flows(hosts, fit_scope="all")
+    assert plain.graph_feature_count == 0 and with_hosts.graph_feature_count == 5
 
 
 def test_report_artifact_can_be_written(spark, out_dir):

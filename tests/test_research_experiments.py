@@ -18,19 +18,17 @@ def _scores(spark, ys, ss):
     return spark.createDataFrame([(int(a), float(b)) for a, b in zip(ys, ss)], "y INT, score DOUBLE")
 
 
-def test_threshold_analysis_builds_multiple_strategies(spark):
-    valid = _scores(spark, [0, 0, 0, 1, 1, 1], [0.1, 0.2, 0.3, 0.7, 0.8, 0.9])
-    test = _scores(spark, [0, 0, 1, 1], [0.15, 0.25, 0.75, 0.85])
-    rows = threshold_analysis(valid, test, "Demo").collect()
-    names = {r["strategy"] for r in rows}
-    assert len(rows) >= 4 and {"best_f1", "normal_95_percentile", "target_recall_0.90"} <= names
-    best = [r for r in rows if r["strategy"] == "best_f1"][0]
-    assert best["threshold"] == 0.7 and best["f1"] == 1.0
-
-
-def test_best_f1_threshold_returns_float(spark):
-    t = threshold_for_f1(_scores(spark, [0, 0, 1, 1], [0.1, 0.4, 0.35, 0.8]))
-    assert isinstance(t, float) and t == 0.35
+def test_strategies_on_separable_and_overlapping_scores(spark):
+    apart = _scores(spark, [0] * 8 + [1] * 4, [*range(8), 20, 21, 22, 23])
+    later = _scores(spark, [0, 0, 0, 1, 1], [3, 19.5, 20.5, 20, 40])
+    rows = {r["strategy"]: r for r in threshold_analysis(apart, later, "any").collect()}
+    assert {"best_f1", "normal_95_percentile", "normal_99_percentile", "target_recall_0.90"} <= set(rows)
+    assert rows["best_f1"]["threshold"] == 20.0
+    assert (rows["best_f1"]["precision"], rows["best_f1"]["recall"]) == (pytest.approx(2 / 3), 1.0)
+    assert rows["normal_95_percentile"]["threshold"] == pytest.approx(6.65)
+    mixed = _scores(spark, [0, 1, 0, 1, 1, 0], [1, 2, 3, 4, 5, 6])
+    best = threshold_for_f1(mixed)
+    assert type(best) is float and best == 2.0  # 3 hits, 2 false alarms
 
 
 def test_ties_pick_lowest_threshold_and_single_class_uses_quantile(spark):
@@ -42,36 +40,37 @@ def test_ties_pick_lowest_threshold_and_single_class_uses_quantile(spark):
     assert abs(threshold_for_recall(one) - 4.8) < 1e-12
 
 
-def test_anomaly_score_direction_can_be_inverted(spark):
-    valid = _scores(spark, [0, 0, 1, 1], [0.9, 0.8, 0.2, 0.1])
-    test = _scores(spark, [0, 1], [0.7, 0.3])
-    inverted, auc = orient_scores(valid)
-    assert inverted and auc < 0.5
-    v2 = [r["score"] for r in apply_orientation(valid, inverted).orderBy("y", "score").collect()]
-    t2 = [r["score"] for r in apply_orientation(test, inverted).orderBy("y").collect()]
-    assert v2 == [-0.9, -0.8, -0.2, -0.1] and t2 == [-0.7, -0.3]
+def test_orientation_follows_validation_auc(spark):
+    falling = _scores(spark, [1, 1, 1, 0, 0], [0, 1, 3, 2, 5])
+    inverted, auc = orient_scores(falling)
+    assert inverted and auc == pytest.approx(1 / 6)
+    assert sorted(r["score"] for r in apply_orientation(falling, inverted).collect()) == [-5, -3, -2, -1, 0]
+    rising = falling.withColumn("score", -F.col("score"))
+    inverted, auc = orient_scores(rising)
+    assert not inverted and auc == pytest.approx(5 / 6)
+    assert apply_orientation(rising, inverted).collect() == rising.collect()
 
 
-def test_attack_type_metrics_are_built_per_attack(spark):
-    df = spark.createDataFrame(
-        [(0, 0, "BENIGN"), (0, 1, "BENIGN"), (1, 1, "DDoS"), (1, 0, "PortScan"), (1, 1, "PortScan")],
-        "y INT, pred INT, raw_label STRING",
-    )
-    rows = {r["attack_type"]: r for r in attack_type_metrics(df, "raw_label", "y", "pred").collect()}
-    assert set(rows) == {"DDoS", "PortScan"}
-    assert rows["DDoS"]["recall"] == 1.0 and rows["PortScan"]["recall"] == 0.5
-    assert rows["PortScan"]["benign_samples"] == 2 and rows["PortScan"]["attack_samples"] == 2
-    assert abs(rows["PortScan"]["f1"] - 0.5) < 1e-12  # tp 1, fp 1, fn 1
+def test_each_attack_type_meets_all_benign_rows(spark):
+    rows = [("ok", 0, 0)] * 6 + [("OK ", 0, 1)] * 2 + [("scan", 1, 1)] * 3 + [("worm", 1, 0)] * 4 + [(" ", 1, 1)]
+    df = spark.createDataFrame([("BENIGN" if n.strip().lower() == "ok" else n, y, p) for n, y, p in rows], "kind STRING, y INT, pred INT")
+    got = {r["attack_type"]: r for r in attack_type_metrics(df, "kind", "y", "pred").collect()}
+    assert sorted(got) == ["scan", "worm"]
+    assert all(r["benign_samples"] == 8 for r in got.values())
+    assert (got["scan"]["precision"], got["scan"]["recall"]) == (pytest.approx(3 / 5), 1.0)
+    assert (got["worm"]["f1"], got["worm"]["attack_samples"]) == (0.0, 4)
 
 
-def test_mask_ratio_parser_validates_values(spark):
-    assert parse_mask_ratios("0, 0.15,0.3") == [0.0, 0.15, 0.3]
-    with pytest.raises(ValueError):
-        parse_mask_ratios("1.2")
+@pytest.mark.parametrize("text, want", [("0.5", [0.5]), (" .25 ,, 0 ,0.999", [0.25, 0.0, 0.999]), ("1e-1,\t", [0.1])])
+def test_mask_ratio_lists(spark, text, want):
+    assert parse_mask_ratios(text) == want
+    assert spark.range(1).select(parse_mask_ratios_col(F.lit(text)).alias("r")).first()["r"] == want
+
+
+@pytest.mark.parametrize("text", ["", ",", "1", "-0.1", "0.2;0.3", "nan", "x"])
+def test_bad_mask_ratio_lists(text):
     with pytest.raises(ValueError):
-        parse_mask_ratios(" , ")
-    r = spark.range(1).select(parse_mask_ratios_col(F.lit("0, 0.15,,0.3")).alias("r")).collect()[0]["r"]
-    assert r == [0.0, 0.15, 0.3]
+        parse_mask_ratios(text)
 
 
 def test_benign_values_as_a_table(spark):
