@@ -136,12 +136,12 @@ def q_a5_medians(spark, sf_dir):
 
 
 def q_a6_moments(spark, sf_dir):
-    f = flows_lineitem(spark, sf_dir)
-    num = clean.numeric_frame(f, LINEITEM_FEATURES)
-    long = num.unpivot([], LINEITEM_FEATURES, "feature", "value")
-    return long.groupBy("feature").agg(
-        F.count("value").alias("n"), r6(F.avg("value")).alias("mean"), r6(F.stddev_pop("value")).alias("std")
-    )
+    num = materialize(clean.numeric_frame(flows_lineitem(spark, sf_dir), LINEITEM_FEATURES))
+    n = clean.non_null_counts(num, LINEITEM_FEATURES)
+    means, stds = clean.column_moments(num, LINEITEM_FEATURES)
+    rows = [(c, int(n[c]), float(means[c]), float(stds[c])) for c in LINEITEM_FEATURES]
+    out = spark.createDataFrame(rows, "feature STRING, n BIGINT, mean DOUBLE, std DOUBLE")
+    return out.select("feature", "n", r6("mean").alias("mean"), r6("std").alias("std"))
 
 
 def q_p7_usable_columns(spark, sf_dir):
@@ -301,14 +301,14 @@ def q_p26_recommendations(spark, sf_dir):
 
 
 def q_a14_dataset_summary(spark, sf_dir):
+    from flowguard.plans.experiment import dataset_summary
+
     out, fit = prepare_flows(flows_lineitem(spark, sf_dir), key_col="Flow ID")
-    return out.groupBy("split").agg(
-        F.count(F.lit(1)).alias("samples"),
-        F.count_if(F.col("y") == 0).alias("benign"),
-        F.count_if(F.col("y") == 1).alias("attack"),
-        F.count_distinct("label_raw").alias("label_kinds"),
-    ).withColumn("feature_count", F.lit(len(fit.feature_names)).cast("long")).withColumn(
-        "graph_feature_count", F.lit(fit.graph_feature_count).cast("long")
+    pairs = F.transform(F.array_sort(F.map_entries("attack_type_summary")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return dataset_summary(out, fit).select(
+        "split", "samples", F.col("BENIGN").alias("benign"), F.col("Attack").alias("attack"),
+        F.size("attack_type_summary").cast("long").alias("label_kinds"), F.array_join(pairs, ",").alias("labels"),
+        F.col("feature_count").cast("long").alias("feature_count"), F.col("graph_feature_count").cast("long").alias("graph_feature_count"),
     )
 
 

@@ -437,8 +437,12 @@ dd AS (SELECT DISTINCT * FROM flows_lineitem),
 lab AS (SELECT *, {y_of('"Label"')} AS y, coalesce(trim("Label"), 'nan') AS label_raw FROM dd),
 {split_ctes('lab', '"Flow ID"', 0.25, 42, 'sp')}
 SELECT split, count(*) AS samples, count_if(y = 0) AS benign, count_if(y = 1) AS attack,
-       count(DISTINCT label_raw) AS label_kinds, CAST(15 AS BIGINT) AS feature_count, CAST(8 AS BIGINT) AS graph_feature_count
-FROM sp GROUP BY split
+       count(DISTINCT label_raw) AS label_kinds, any_value(labels) AS labels,
+       CAST(15 AS BIGINT) AS feature_count, CAST(8 AS BIGINT) AS graph_feature_count
+FROM sp JOIN (
+  SELECT split, string_agg(label_raw || '=' || n, ',' ORDER BY label_raw) AS labels
+  FROM (SELECT split, label_raw, count(*) AS n FROM sp GROUP BY ALL) GROUP BY split
+) USING (split) GROUP BY split
 """
 
 C1_SQL = SPLIT_SCORED + "\nSELECT split, y, count(*) AS count FROM sp GROUP BY ALL"
