@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 
 from flowguard.session import ensure_checkpoint_dir, ship_package
 
-SLICE_BYTES = 4 << 20
+#: Bytes of text that numpy works on at once in a task; arrays of words and hashes are some 60 times
+#: that.
+SLICE_BYTES = 1 << 20
+#: Rows of an Arrow batch: texts are long, and a batch is held by the JVM and by the worker.
+BATCH_ROWS = 1000
 
 #: Whitespace of the word rule ``[^\x20\x09-\x0D]+``.
 SPACES = np.array([9, 10, 11, 12, 13, 32])
@@ -56,8 +60,12 @@ def counted(stored: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def ready(spark: SparkSession) -> None:
-    """Before any step with Python functions: the package is shipped to the executors' workers."""
+    """Before any step with Python functions: the package is shipped to the executors' workers, and
+    the session's Arrow batches get at most BATCH_ROWS rows."""
     ship_package(spark)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(rows)) > BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
 
 
 # ------------------------------------------------------------------------- words as numpy arrays
@@ -167,9 +175,17 @@ def rolling(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def span_hashes(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte ranges (a polynomial over random byte values, then mixed)."""
-    total, down = rolling(_BYTE[low])
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+    """64-bit hashes of ascending byte ranges (a polynomial over random byte values, then mixed)."""
+    out = np.empty(len(start), np.uint64)
+    at = 0
+    while at < len(start):  # about a slice of bytes at a time
+        to = max(at + 1, int(np.searchsorted(start, start[at] + SLICE_BYTES)))
+        low_end = end[at:to].max()
+        total, down = rolling(_BYTE[low[start[at] : low_end]])
+        s, e = start[at:to] - start[at], end[at:to] - start[at]
+        out[at:to] = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
+        at = to
+    return out
 
 
 def range_hashes(values: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from flowguard.llm.common import ALNUM, Words, counted, ready, slices, store
 
 WINDOW = 10
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Windows of one query block (10 hashes of 8 bytes each and an item id: 20 MB at most).
 QUERY_WINDOWS = 200_000
 
