@@ -50,6 +50,14 @@ def discard(df: DataFrame | None) -> None:
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def early_hashes(df: DataFrame, h: Column, rows: int, total: int) -> DataFrame:
+    """Of ``total`` rows, those among which the first ``rows`` in the order of the 64-bit hash ``h``
+    lie (some 2 * rows), so that a sample's candidates don't come to the driver from every task."""
+    if total <= 4 * rows:
+        return df
+    return df.where(h < F.lit(-(1 << 63) + (1 << 64) * 2 * rows // total))
+
+
 #: Rows of a narrow stored table up to which a join broadcasts it; a larger one is shuffled.
 BROADCAST_ROWS = 200_000
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import NOT_SPACE, Words, cells, components, counted, local_roots, ready, slices, store, whole_groups
+from flowguard.llm.common import NOT_SPACE, Words, cells, components, counted, early_hashes, local_roots, ready, slices, store, whole_groups
 
 SHINGLE, BITS, SEED = 3, 3, 42
 #: Distinct fingerprints that the bit parts and the candidate estimates are fitted on.
@@ -277,7 +277,9 @@ def fingerprint_links(distinct: DataFrame, tau: int = BITS) -> DataFrame:
     spark = distinct.sparkSession
     ready(spark)
     total = distinct.count()
-    sample = np.array([r[0] for r in distinct.orderBy(F.xxhash64("fp", F.lit(3)), "fp").limit(SAMPLE_ROWS).collect()], np.int64).view(np.uint64)
+    by = F.xxhash64("fp", F.lit(3))
+    first = early_hashes(distinct, by, SAMPLE_ROWS, total).orderBy(by, "fp").limit(SAMPLE_ROWS)
+    sample = np.array([r[0] for r in first.collect()], np.int64).view(np.uint64)
     plan = spark.sparkContext.broadcast(Plan(sample, total, tau))  # 64 bit numbers and m * FREQUENT estimates
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -122,3 +122,13 @@ def test_table_matches_brute_force(spark):
     want = brute_components(rows)
     got = {r.doc_id: (r.fp % (1 << 64), r.component_id) for r in simhash.near_duplicates(docs).collect()}
     assert got == {d: (f, want[(d, f)]) for d, f in rows}
+
+
+def test_early_hashes_hold_the_first_rows(spark):
+    from flowguard.llm.common import early_hashes
+
+    df, h = spark.range(3000), F.xxhash64("id")
+    few = early_hashes(df, h, 50, 3000)
+    assert 60 < few.count() < 160
+    assert few.orderBy(h).limit(50).collect() == df.orderBy(h).limit(50).collect()
+    assert early_hashes(df, h, 50, 200).count() == 3000
