@@ -88,6 +88,44 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+#: Words of a text as the contracts count them.
+SPACE = r"[\x20\x09-\x0D]+"
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """The documents of op13's contract: a text whose id's crc32 is divisible by 10 ends in a word
+    sequence repeated from word a on with period p, both from the crc32 and the number of words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    chosen = docs.select("doc_id", "text", g.alias("g"), (F.coalesce(h % 10 == 0, F.lit(False)) & F.col("text").rlike(r"[^\x20\x09-\x0D]")).alias("tail"))
+    words = F.when(F.col("tail"), F.filter(F.split("text", SPACE), lambda w: w != ""))
+    sized = chosen.withColumn("w", words).withColumn("n", F.size("w").cast("long")).withColumn("a", F.when(F.col("tail"), F.col("g") % F.col("n")))
+    sized = sized.withColumn("p", F.lit(1) + F.floor((F.col("n") - F.col("a")) / (F.lit(3) + F.col("g") % 8)))
+    rest = F.col("n") - F.col("a")
+    period = F.slice("w", (F.col("a") + 1).cast("int"), F.col("p").cast("int"))
+    again = F.slice(F.flatten(F.array_repeat(period, F.ceil(rest / F.col("p")).cast("int"))), F.lit(1), rest.cast("int"))
+    changed = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a").cast("int")), again), " ")
+    return sized.select("doc_id", F.when(F.col("tail"), changed).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowguard.llm import periodic_runs
+
+    found = periodic_runs.periodic_runs(with_periodic_tails(read(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.n").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.floor(F.lit(1000) * F.col("best.n") / -F.col("best.p")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_decontamination": op2_decontamination,
@@ -99,4 +137,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring": op8_substring,
     "op9_chat": op9_chat,
     "op10_simhash": op10_simhash,
+    "op13_periodic_runs": op13_periodic_runs,
 }

@@ -88,4 +88,46 @@ select conv_id, n_turns, sha256(turns) as turns_sha256, cast(length(learned) as
 from g
 """
 
-SQL: dict[str, str] = {"op2_decontamination": OP2, "op3_mixing": OP3, "op9_chat": OP9}
+#: crc32 (reflected polynomial EDB88320) of the ASCII text of ``{x}``, bit by bit.
+CRC32 = (
+    "xor(list_reduce(list_transform(string_split({x}, ''), lambda c: cast(ascii(c) as bigint)), "
+    "lambda h, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7]::bigint[], lambda v, k: xor(v >> 1, (v & 1) * 3988292384), xor(h, b)), 4294967295::bigint), 4294967295::bigint)"
+)
+
+#: Pairs of equal words p places apart; islands of such pairs are the stretches with period p.
+OP13 = (
+    r"""
+with
+doc as (
+    select doc_id, row_number() over () as r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w, """
+    + CRC32.format(x="cast(doc_id as varchar)")
+    + r""" as h
+    from documents
+),
+sized as (
+    select *, cast(len(w) as bigint) as n, h // 10 as g, case when h % 10 = 0 and len(w) > 0 then (h // 10) % len(w) end as a,
+           case when h % 10 = 0 and len(w) > 0 then 1 + (len(w) - (h // 10) % len(w)) // (3 + (h // 10) % 8) end as p
+    from doc
+),
+word as (
+    select r, k, case when a is null or k < a then w[k + 1] else w[a + (k - a) % p + 1] end as x
+    from (select *, unnest(generate_series(0, n - 1)) as k from sized where n > 0)
+),
+pair as (select u.r, u.k, v.k - u.k as p from word u join word v on u.r = v.r and u.x = v.x and u.k < v.k),
+island as (select r, p, k, k - row_number() over (partition by r, p order by k) as i from pair),
+stretch as (select r, p, min(k) as s, count(*) + p as n from island group by r, p, i having count(*) + p >= greatest(12, 2 * p)),
+run as (select r, s, n, min(p) as p from stretch group by r, s, n),
+dropped as (select distinct r, unnest(generate_series(s + p, s + n - 1)) as k from run),
+kept as (select r, string_agg(x, ' ' order by k) as t from word anti join dropped using (r, k) group by r),
+told as (
+    select r, count(*) as n_runs, string_agg(s || ',' || n || ',' || p || chr(10), '' order by s, p) as lines,
+           max_by(struct_pack(s := s, n := n, p := p), (n, -s, -p)) as best
+    from run group by r
+)
+select doc_id, coalesce(n_runs, 0) as n_runs, best.s as start, cast(best.n as bigint) as length, best.p as period,
+       cast(1000 * best.n // best.p as bigint) as exponent_milli, sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(t, '')) as collapsed_sha256
+from sized left join told using (r) left join kept using (r)
+"""
+)
+
+SQL: dict[str, str] = {"op2_decontamination": OP2, "op3_mixing": OP3, "op9_chat": OP9, "op13_periodic_runs": OP13}
