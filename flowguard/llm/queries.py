@@ -88,6 +88,29 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """The rows of op12's contract: what the crc32 of a row's conversation and turn does to it."""
+    text_of = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    how = F.crc32(F.concat(text_of("conv_id"), F.lit(":"), text_of("turn")).cast("binary")) % 20
+    kept = rows.select("conv_id", "turn", text_of("role").alias("role"), text_of("text").alias("text"), how.alias("how")).where("how != 0")
+    text = F.when(F.col("how") == 1, "").when(F.col("how") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("how") == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.when(F.col("how") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return kept.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowguard.llm import turn_repair
+
+    rows = read(spark, sf_dir, "conversations")
+    found = turn_repair.reports(turn_repair.repaired(damaged(rows)))
+    every = rows.select(F.col("conv_id").alias("id")).distinct()
+    zero = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("id").alias("conv_id"), *zero, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    )
+
+
 #: Words of a text as the contracts count them.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -137,5 +160,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring": op8_substring,
     "op9_chat": op9_chat,
     "op10_simhash": op10_simhash,
+    "op12_turn_repair": op12_turn_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }

@@ -130,4 +130,84 @@ from sized left join told using (r) left join kept using (r)
 """
 )
 
-SQL: dict[str, str] = {"op2_decontamination": OP2, "op3_mixing": OP3, "op9_chat": OP9, "op13_periodic_runs": OP13}
+#: Rows after the damage; then, from a conversation's last row to its first, the least (cost,
+#: initials) from each state of the pattern (nothing yet, after s, after u, after a) to the end.
+OP12 = (
+    r"""
+with recursive
+given as (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, """
+    + CRC32.format(x="(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '))")
+    + r""" % 20 as how
+    from conversations
+),
+hurt as (
+    select conv_id, turn, case when how = 4 then 'user' else role end as role,
+           case when how = 1 then '' when how = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+           unnest(case when how = 3 then [0, 1] else [0] end) as copy
+    from given where how <> 0
+),
+placed as (
+    select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(text), copy) as k,
+           row_number() over (partition by conv_id, role, text order by turn nulls first, copy) as seen, rtrim(text, e' 	
+') as body
+    from hurt
+),
+faulty as (
+    select conv_id as c, turn, role, text, k, substr(role, 1, 1) as i,
+           case when body = '' then 'blank' when seen > 1 then 'duplicate' when right(body, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault
+    from placed
+),
+convs as (select c, count(*) as n from faulty group by c),
+fold as (
+    select c, n as k, {'c': 0, 's': ''} as v0, {'c': 6, 's': 'II'} as v1, {'c': 3, 's': 'I'} as v2, {'c': 0, 's': ''} as v3 from convs
+    union all
+    select c, k, list_min([b0, {'c': v2.c + 3, 's': 'I' || v2.s}]), list_min([b1, {'c': v2.c + 3, 's': 'I' || v2.s}]), v2, v3
+    from (
+        select c, k, b0, b1, list_min([b2, {'c': b3.c + 3, 's': 'I' || b3.s}]) as v2, list_min([b3, {'c': b2.c + 3, 's': 'I' || b2.s}]) as v3
+        from (
+            select f.c, f.k - 1 as k,
+                   list_min([{'c': v0.c + 4, 's': 'D' || v0.s}, {'c': case when bad then 999999999 else v2.c + 3 + more end, 's': 'R' || v2.s},
+                             {'c': case when bad or i not in ('s', 'u') then 999999999 when i = 's' then v1.c + more else v2.c + more end, 's': 'K' || case when i = 's' then v1.s else v2.s end}]) as b0,
+                   list_min([{'c': v1.c + 4, 's': 'D' || v1.s}, {'c': case when bad then 999999999 else v2.c + 3 + more end, 's': 'R' || v2.s},
+                             {'c': case when bad or i <> 'u' then 999999999 else v2.c + more end, 's': 'K' || v2.s}]) as b1,
+                   list_min([{'c': v2.c + 4, 's': 'D' || v2.s}, {'c': case when bad then 999999999 else v3.c + 3 + more end, 's': 'R' || v3.s},
+                             {'c': case when bad or i <> 'a' then 999999999 else v3.c + more end, 's': 'K' || v3.s}]) as b2,
+                   list_min([{'c': v3.c + 4, 's': 'D' || v3.s}, {'c': case when bad then 999999999 else v2.c + 3 + more end, 's': 'R' || v2.s},
+                             {'c': case when bad or i <> 'u' then 999999999 else v2.c + more end, 's': 'K' || v2.s}]) as b3
+            from fold f
+            join (select *, fault in ('blank', 'duplicate') as bad, case when fault = 'truncated' then 3 else 0 end as more from faulty) r
+              on f.c is not distinct from r.c and f.k = r.k
+        )
+    )
+),
+best as (select c, v0.c as cost, v0.s as audit from fold where k = 0),
+step as (select c, unnest(string_split(audit, '')) as e, generate_subscripts(string_split(audit, ''), 1) as j from best where audit <> ''),
+walked as (
+    select *, sum((e <> 'I')::int) over (partition by c order by j) as k, sum((e <> 'D')::int) over (partition by c order by j) - 1 as o from step
+),
+lined as (
+    select w.*, r.role, r.text, coalesce(max(case when e = 'K' and o = 0 and r.i = 's' then 1 else 0 end) over (partition by w.c), 0) as s
+    from walked w left join faulty r on w.e <> 'I' and w.c is not distinct from r.c and w.k = r.k
+),
+told as (
+    select c, string_agg((case when e = 'K' then role when (o - s) % 2 = 0 then 'user' else 'assistant' end) || ':' || (case when e = 'I' then '' else text end), chr(10) order by j)
+              filter (where e <> 'D') as t
+    from lined group by c
+),
+counted as (
+    select c, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (where fault = 'blank') as blank,
+           count(*) filter (where fault = 'duplicate') as duplicate, count(*) filter (where fault = 'truncated') as truncated,
+           count(*) filter (where before is not null and before || i not in ('su', 'ua', 'au')) as illegal
+    from (select *, lag(i) over (partition by c order by k) as before from faulty) group by c
+)
+select x.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+       coalesce(illegal, 0) as illegal, cast(coalesce(cost, 0) as bigint) as cost, coalesce(audit, '') as audit, sha256(coalesce(t, '')) as repaired_sha256
+from (select distinct conv_id from conversations) x
+left join counted a on x.conv_id is not distinct from a.c
+left join best b on x.conv_id is not distinct from b.c
+left join told d on x.conv_id is not distinct from d.c
+"""
+)
+
+SQL: dict[str, str] = {"op2_decontamination": OP2, "op3_mixing": OP3, "op9_chat": OP9, "op12_turn_repair": OP12, "op13_periodic_runs": OP13}
