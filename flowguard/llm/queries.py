@@ -88,6 +88,16 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+def op11_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowguard.llm import linked_secrets
+
+    found = linked_secrets.secret_spans(read(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["rank"] <= 3)
+    told = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+    number = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", number("assign"), number("access"), number("hex"), F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
 def damaged(rows: DataFrame) -> DataFrame:
     """The rows of op12's contract: what the crc32 of a row's conversation and turn does to it."""
     text_of = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
@@ -160,6 +170,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring": op8_substring,
     "op9_chat": op9_chat,
     "op10_simhash": op10_simhash,
+    "op11_linked_secrets": op11_linked_secrets,
     "op12_turn_repair": op12_turn_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }

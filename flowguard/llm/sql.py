@@ -150,7 +150,8 @@ hurt as (
 placed as (
     select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(text), copy) as k,
            row_number() over (partition by conv_id, role, text order by turn nulls first, copy) as seen, rtrim(text, e' 	
-') as body
+
+') as body
     from hurt
 ),
 faulty as (
@@ -210,4 +211,65 @@ left join told d on x.conv_id is not distinct from d.c
 """
 )
 
-SQL: dict[str, str] = {"op2_decontamination": OP2, "op3_mixing": OP3, "op9_chat": OP9, "op12_turn_repair": OP12, "op13_periodic_runs": OP13}
+
+
+def _op11() -> str:
+    """Matches with the texts between them, running sums for places, and a plain interval join."""
+    from flowguard.llm import linked_secrets as k
+
+    q = lambda pattern: "'" + pattern.replace("'", "''") + "'"
+    all_parts = f"{k.BREAK}|{k.PARTS}"
+    passes = " union all ".join(
+        f"select r, {n} as pass, unnest(regexp_extract_all(text, {q(p)})) as m, unnest(list_slice(string_split_regex(text, {q(p)}), 1, -2)) as gap, "
+        f"generate_subscripts(regexp_extract_all(text, {q(p)}), 1) as i from doc where regexp_matches(text, {q(p)})"
+        for n, p in enumerate([k.ASSIGN, k.ACCESS, k.HEX, all_parts])
+    )
+    whole = lambda p: q(f"^(?:{p})$")
+    value, name = f"length(regexp_extract(m, {whole(k.ASSIGN)}, 2))", f"length(regexp_extract(m, {whole(k.IDENTIFIER)}, 2))"
+    mixed = " and ".join(f"regexp_matches(m, {q(p)})" for p in k.MIXED)
+    return rf"""
+with
+doc as (select doc_id, row_number() over () as r, coalesce(text, '') as text from documents),
+found as ({passes}),
+kinds as (
+    select *, case when m[1] = chr(10) then 'break'
+                   when pass in (0, 3) and regexp_matches(m, {whole(k.ASSIGN)}) then case when {value} >= {k.LEAST_VALUE} then 'assign' when pass = 3 and {value} >= {k.LEAST_WEAK} then 'key' end
+                   when pass in (1, 3) and regexp_matches(m, {whole(k.ACCESS)}) then case when length(m) >= {k.LEAST_ACCESS} then 'access' end
+                   when pass = 2 then 'hex'
+                   when regexp_matches(m, {whole(k.IDENTIFIER)}) then case when {name} >= {k.LEAST_NAME} then 'identifier' end
+                   when regexp_matches(m, {whole(k.URL)}) or regexp_matches(m, {whole(k.HOST)}) then 'endpoint'
+                   when regexp_matches(m, {whole(k.HEX)}) then 'hex'
+                   when {mixed} then 'key' end as kind
+    from found
+),
+place as (
+    select r, pass, kind, cast(sum(length(gap) + length(m)) over w as bigint) as e, e - length(m) as s,
+           count(*) filter (where kind = 'break') over w as scope
+    from kinds window w as (partition by r, pass order by i)
+),
+part as (select * from place where pass = 3 and kind is not null and kind <> 'break'),
+weak as (
+    select distinct a.r, a.kind, a.s, a.e, bool_or(b.kind in ('access', 'identifier')) over w as has_name, bool_or(b.kind in ('assign', 'hex', 'key')) over w as has_secret
+    from part a join part b on a.r = b.r and a.scope = b.scope and b.s < a.e + {k.REACH} and b.e > a.s - {k.REACH}
+    where a.kind in ('key', 'identifier', 'endpoint')
+    window w as (partition by a.r, a.s, a.e, a.kind)
+),
+span as (
+    select r, kind, s, e from place where pass < 3 and kind is not null
+    union all
+    select r, kind, s, e from weak where case kind when 'key' then has_name when 'identifier' then has_secret else has_name and has_secret end
+),
+listed as (select *, list_position({list(k.KINDS)}, kind) as rank, kind || ':' || s || ':' || e as t from span),
+told as (
+    select r, count(*) filter (where kind = 'assign') as n_assign, count(*) filter (where kind = 'access') as n_access, count(*) filter (where kind = 'hex') as n_hex,
+           string_agg(t, ',' order by s, rank) filter (where rank <= 3) as base, string_agg(t, ',' order by s, rank) as spans
+    from listed group by r
+)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from doc left join told using (r)
+"""
+
+
+OP11 = _op11()
+
+SQL: dict[str, str] = {"op2_decontamination": OP2, "op3_mixing": OP3, "op9_chat": OP9, "op11_linked_secrets": OP11, "op12_turn_repair": OP12, "op13_periodic_runs": OP13}
