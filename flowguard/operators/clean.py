@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowguard.functions.columns import to_number
+from flowguard.operators.exact_sums import exact_sums
 from flowguard.operators.order_stats import exact_quantiles
 
 
@@ -139,22 +140,16 @@ def is_constant_feature(var: float, mean: float, n: int) -> bool:
 
 
 def column_moments(df: DataFrame, columns: list[str]) -> tuple[dict[str, float], dict[str, float]]:
-    """Mean and population standard deviation (ddof 0) of each column, one pass.
+    """Mean and population standard deviation (ddof 0) of each column's finite values.
 
-    A near-constant column reports std 0, so that scaling divides it by 1.
+    Both come from exact sums and are rounded once (:mod:`flowguard.operators.exact_sums`), so they
+    are the same bits however the rows are partitioned. A near-constant column reports std 0, so that
+    scaling divides it by 1.
     """
-    if not columns:
-        return {}, {}
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i, c in enumerate(columns):
-        aggs += [F.avg(F.col(f"`{c}`")).alias(f"m{i}"), F.var_pop(F.col(f"`{c}`")).alias(f"v{i}")]
-    row = df.agg(*aggs).collect()[0]
-    n = int(row["n"])
-    means = {c: float(row[f"m{i}"] or 0.0) for i, c in enumerate(columns)}
-    stds = {}
-    for i, c in enumerate(columns):
-        var = float(row[f"v{i}"] or 0.0)
-        stds[c] = 0.0 if is_constant_feature(var, means[c], n) else math.sqrt(var)
+    means, stds = {}, {}
+    for c, sums in exact_sums(df, columns).items():
+        means[c], var = sums.mean, sums.variance
+        stds[c] = 0.0 if is_constant_feature(var, means[c], sums.n) else math.sqrt(var)
     return means, stds
 
 

@@ -276,11 +276,18 @@ def a5_sql() -> str:
 
 
 def a6_sql() -> str:
-    parts = [
-        f"SELECT '{f}' AS feature, count({num_typed(q(f))}) AS n, {r6(f'avg({num_typed(q(f))})')} AS mean, "
-        f"{r6(f'stddev_pop({num_typed(q(f))})')} AS std FROM flows_lineitem"
-        for f in LI_FEATURES
-    ]
+    """Sums as whole numbers of 2^-60 (exact for these tables: values have no smaller bits), squared
+    deviations as whole numbers of 2^-50; rounded to DOUBLE at the end only."""
+    unit, unit2 = "1152921504606846976.0", "1125899906842624.0"
+    parts = []
+    for f in LI_FEATURES:
+        x = num_typed(q(f))
+        parts.append(
+            f"SELECT '{f}' AS feature, n, {r6('m')} AS mean, {r6('s')} AS std FROM (SELECT any_value(n) AS n, any_value(m) AS m, "
+            f"sqrt(CAST(sum(CAST(round((x - m) * (x - m) * {unit2}) AS HUGEINT)) AS DOUBLE) / {unit2} / any_value(n)) AS s FROM "
+            f"(SELECT {x} AS x FROM flows_lineitem), (SELECT count(x) AS n, CAST(sum(CAST(x * {unit} AS HUGEINT)) AS DOUBLE) / {unit} / count(x) AS m "
+            f"FROM (SELECT {x} AS x FROM flows_lineitem)))"
+        )
     return f"WITH {FLOWS_LINEITEM}\n" + "\nUNION ALL\n".join(parts)
 
 

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from flowguard.plans.queries import REGISTRY
 from tests.conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -50,8 +51,8 @@ def test_query_matches_sql(spark, duck, name):
     assert _canon(srows) == _canon(drows)
 
 
-def test_every_query_has_a_twin_or_is_a_learned_model():
-    learned = {n for n in QUERIES if n not in SQL}
+def test_every_flow_query_has_a_twin_or_is_a_learned_model():
+    learned = {n for n in REGISTRY if n not in SQL}
     assert all(n.startswith(("m1_", "m2_", "m5_", "m6_", "m16_", "t1_")) for n in learned), learned
 
 
