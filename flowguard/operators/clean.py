@@ -16,15 +16,24 @@ from pyspark.sql import functions as F
 from flowguard.functions.columns import to_number
 from flowguard.operators.exact_sums import exact_sums
 from flowguard.operators.order_stats import exact_quantiles
+from flowguard.operators.row_groups import COUNT, HASH_FIRST_BYTES, can_hash, group_rows, plan_bytes
 
 
-def drop_duplicate_rows(df: DataFrame) -> DataFrame:
+def drop_duplicate_rows(df: DataFrame, hash_first: bool | None = None) -> DataFrame:
     """A3: keep one row of each set of equal rows (all columns; nulls and NaN equal).
 
     Planned as a hash aggregate on all columns with map-side partial aggregation, so a row
-    repeated a third of all times collapses inside each map task before the shuffle.
+    repeated a third of all times collapses inside each map task before the shuffle. A large input
+    is told apart by row hashes first, and only rows whose hash repeats move whole
+    (:mod:`flowguard.operators.row_groups`).
     """
-    return df.dropDuplicates()
+    if hash_first is None and not large_and_plain(df):
+        return df.dropDuplicates()
+    return group_rows(df, hash_first).drop(COUNT)
+
+
+def large_and_plain(df: DataFrame) -> bool:
+    return can_hash(df) and plan_bytes(df) > HASH_FIRST_BYTES
 
 
 def canonical_numbers(df: DataFrame, exclude=()) -> DataFrame:
@@ -53,9 +62,9 @@ def canonical_numbers(df: DataFrame, exclude=()) -> DataFrame:
     return df.withColumns({c: number_spelling(F.col(f"`{c}`")) for c in numeric})
 
 
-def duplicate_row_count(df: DataFrame) -> DataFrame:
+def duplicate_row_count(df: DataFrame, hash_first: bool | None = None) -> DataFrame:
     """A4: rows beyond the first of each set of equal rows (one-row DataFrame)."""
-    grouped = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
+    grouped = group_rows(df, hash_first)
     return grouped.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 

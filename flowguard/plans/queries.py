@@ -122,6 +122,22 @@ def q_a3_dedup(spark, sf_dir):
     return clean.drop_duplicate_rows(f)
 
 
+def _repeating_flows(spark, sf_dir):
+    """All columns of the line-item flows; suppliers whose number ends in 7 sent theirs twice."""
+    f = flows_lineitem(spark, sf_dir)
+    return f.unionByName(f.where(F.col("Source IP").endswith("7")))
+
+
+def q_a3_dedup_wide(spark, sf_dir):
+    """Whole flows, told apart by row hashes first."""
+    return _round_all(clean.drop_duplicate_rows(_repeating_flows(spark, sf_dir), hash_first=True), ["Flow ID", "Source IP", "Destination IP", "Source Port", "Destination Port", "Label"])
+
+
+def q_a4_duplicate_rows_wide(spark, sf_dir):
+    """Duplicates and label mix after dedup of whole flows, by row hashes first."""
+    return quality.dedup_stats(_repeating_flows(spark, sf_dir), "Label", hash_first=True)
+
+
 def q_a4_duplicate_rows(spark, sf_dir):
     f = flows_lineitem(spark, sf_dir).select("Source Port", "Destination Port", "Label")
     return clean.duplicate_row_count(f)
@@ -549,6 +565,8 @@ REGISTRY = {
     "a3_dedup": q_a3_dedup,
     "a3_dedup_text_ids": q_a3_dedup_text_ids,
     "a4_duplicate_rows": q_a4_duplicate_rows,
+    "a3_dedup_wide": q_a3_dedup_wide,
+    "a4_duplicate_rows_wide": q_a4_duplicate_rows_wide,
     "a5_medians": q_a5_medians,
     "a6_moments": q_a6_moments,
     "p7_usable_columns": q_p7_usable_columns,

@@ -56,6 +56,8 @@ scored_documents AS (
   FROM labels l JOIN documents d ON l.doc_id = d.doc_id
 )"""
 
+REPEATING_FLOWS = """repeating AS (SELECT * FROM flows_lineitem UNION ALL SELECT * FROM flows_lineitem WHERE "Source IP" LIKE '%7')"""
+
 EPS = "2.220446049250313e-16"
 LI_FEATURES = ["Source Port", "Destination Port", "Quantity", "Extended Price", "Discount", "Tax", "Price Rate"]
 GRAPH = [
@@ -718,6 +720,9 @@ def _oracle_sql() -> dict[str, str]:
         "a3_dedup": A3_SQL,
         "a4_duplicate_rows": A4_SQL,
         "a5_medians": a5_sql(),
+        "a3_dedup_wide": f"WITH {FLOWS_LINEITEM}, {REPEATING_FLOWS} SELECT DISTINCT * REPLACE ({', '.join(f'{r6(q(c))} AS {q(c)}' for c in LI_FEATURES[2:])}) FROM repeating",
+        "a4_duplicate_rows_wide": f"""WITH {FLOWS_LINEITEM}, {REPEATING_FLOWS}, g AS (SELECT *, count(*) AS n FROM repeating GROUP BY ALL)
+SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_rows, count(*) FILTER (WHERE {y_of('"Label"')} = 0) AS benign_samples, count(*) FILTER (WHERE {y_of('"Label"')} = 1) AS attack_samples FROM g""",
         "a6_moments": a6_sql(),
         "p7_usable_columns": p7_sql(),
         "m20_prepare": m20_sql(),
