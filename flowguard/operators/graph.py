@@ -58,6 +58,7 @@ class GraphLookups:
     src_dport: DataFrame | None = None  # (K_SRC, K_DPORT, graph_src_dst_port_count)
     sport: DataFrame | None = None      # (K_SPORT, graph_src_port_count)
     sizes: dict | None = None           # rows per table, measured when fitted
+    stored: bool = False                # tables are stored in buckets of their keys
 
     @property
     def feature_names(self) -> list[str]:
@@ -175,24 +176,97 @@ def _salted_left_join(k: DataFrame, table: DataFrame, keys: list[str], values: l
     return k.drop("__salt", *[f"__hot_{v}" for v in values])
 
 
-def apply_graph(df: DataFrame, lookups: GraphLookups, log1p: bool = True, row_key: str | None = None) -> DataFrame:
+def _bucketed_left_join(k: DataFrame, table: DataFrame, keys: list[str], values: list[str], hot_rows: int, salts: int) -> DataFrame:
+    """Left join of a count table that is stored in buckets of its keys, which is read bucket by
+    bucket and never shuffled.
+
+    Hot keys are broadcast as in :func:`_salted_left_join`. The flow rows of a hot key get a key text
+    that no table holds, one of ``salts``, so they are spread and meet nothing in the buckets.
+    """
+    hot = table.where(F.col(values[0]) >= hot_rows).select(*keys, *[F.col(v).alias(f"__hot_{v}") for v in values])
+    cold = table.where(F.col(values[0]) < hot_rows).select(*[F.col(c).alias(f"__t{c}") for c in keys], *values)
+    k = k.join(F.broadcast(hot), keys, "left")
+    is_hot = F.col(f"__hot_{values[0]}").isNotNull()
+    salt = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*[F.col(c) for c in k.columns]), F.lit(salts)).cast("string"))
+    k = k.withColumn("__j", F.when(is_hot, salt).otherwise(F.col(keys[0])))
+    on = [F.col("__j") == F.col(f"__t{keys[0]}"), *[F.col(c) == F.col(f"__t{c}") for c in keys[1:]]]
+    k = k.join(cold, on, "left").withColumns({v: F.coalesce(F.col(f"__hot_{v}"), F.col(v)) for v in values})
+    return k.drop("__j", *[f"__t{c}" for c in keys], *[f"__hot_{v}" for v in values])
+
+
+def store_lookups(g: GraphLookups, folder: str, buckets: int = 200) -> GraphLookups:
+    """Write the fitted count tables below ``folder``, each as Parquet in ``buckets`` of its keys, and
+    a manifest; the returned lookups read them.
+
+    The folder must be one that all executors see. Choose ``buckets`` for the largest table, and not
+    below ``spark.sql.shuffle.partitions``: a scoring run shuffles its rows into as many partitions.
+    """
+    import json
+
+    spark = None
+    told = {"schema": g.schema.__dict__, "buckets": buckets, "sizes": g.sizes or {}, "tables": []}
+    for name, table, keys, values in g.tables():
+        spark = table.sparkSession
+        t = _bucket_table(f"{folder}/{name}")
+        rows = table.select(*keys, *values).repartition(buckets, *keys)
+        rows.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", f"{folder}/{name}").format("parquet").saveAsTable(t)
+        told["tables"].append({"name": name, "keys": keys, "values": values, "columns": rows.schema.simpleString()[len("struct<"):-1]})
+    if spark is None:
+        raise ValueError("no count table to store: the flows have no host or port columns")
+    spark.createDataFrame([(json.dumps(told),)], "manifest string").coalesce(1).write.mode("overwrite").text(f"{folder}/_lookups")
+    return load_lookups(spark, folder)
+
+
+def load_lookups(spark, folder: str) -> GraphLookups:
+    """Lookups over the tables that :func:`store_lookups` wrote, in this or an earlier session."""
+    import json
+
+    told = json.loads(spark.read.text(f"{folder}/_lookups").first()[0])
+    g = GraphLookups(FlowSchema(**told["schema"]), sizes=told["sizes"], stored=True)
+    for t in told["tables"]:
+        name, by = _bucket_table(f"{folder}/{t['name']}"), ", ".join(f"`{k}`" for k in t["keys"])
+        if not spark.catalog.tableExists(name):
+            columns = ", ".join("`{}` {}".format(*c.split(":", 1)) for c in t["columns"].split(","))
+            spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) INTO {told['buckets']} BUCKETS LOCATION '{folder}/{t['name']}'")
+        setattr(g, t["name"], spark.table(name))
+    return g
+
+
+def _bucket_table(path: str) -> str:
+    """The session's name for the table in a folder."""
+    import hashlib
+
+    return f"flowguard_counts_{hashlib.md5(path.encode()).hexdigest()[:16]}"
+
+
+def apply_graph(
+    df: DataFrame, lookups: GraphLookups, log1p: bool = True, row_key: str | None = None, broadcast_rows: int | None = None, hot_rows: int | None = None
+) -> DataFrame:
     """J1-J8 + P12: left-join the count tables; unseen keys count 0; ``log1p`` of the counts.
 
     A table whose measured row count is at most ``flowguard.graph.broadcastMaxRows`` (default
     2,000,000) is broadcast, so the flow rows are not shuffled for it. A larger table is
     sort-merge joined with its hot keys (count >= ``flowguard.skew.hotRows``, default
     1,000,000 train rows) broadcast and the rest salted (:func:`_salted_left_join`), so a key
-    holding a third of all flows does not end up in one task. With a unique ``row_key`` and two
+    holding a third of all flows does not end up in one task; tables stored by :func:`store_lookups`
+    are joined in their buckets, without a shuffle of their own. ``broadcast_rows`` and ``hot_rows``
+    stand in for the two settings. With a unique ``row_key`` and two
     or more large tables, those joins run on a narrow key table joined back once.
     """
     from flowguard.session import row_cap_for_broadcast
 
     spark = df.sparkSession
-    cap = row_cap_for_broadcast(spark, "flowguard.graph.broadcastMaxRows", 2_000_000)
-    hot_rows = row_cap_for_broadcast(spark, "flowguard.skew.hotRows", 1_000_000)
+    cap = row_cap_for_broadcast(spark, "flowguard.graph.broadcastMaxRows", 2_000_000) if broadcast_rows is None else broadcast_rows
+    hot_rows = row_cap_for_broadcast(spark, "flowguard.skew.hotRows", 1_000_000) if hot_rows is None else hot_rows
     salts = row_cap_for_broadcast(spark, "flowguard.skew.salts", 64)
     k = with_graph_keys(df, lookups.schema)
     sizes = lookups.sizes or {}
+
+    def large_join(rows: DataFrame, table: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+        if lookups.stored:
+            return _bucketed_left_join(rows, table, keys, values, hot_rows, salts)
+        return _salted_left_join(rows, table, keys, values, values[0], hot_rows, salts)
+
     small = [t for t in lookups.tables() if sizes.get(t[0]) is not None and sizes[t[0]] <= cap]
     large = [t for t in lookups.tables() if t not in small]
     for _name, table, keys, _values in small:
@@ -203,12 +277,12 @@ def apply_graph(df: DataFrame, lookups: GraphLookups, log1p: bool = True, row_ke
         key_cols = sorted({c for _n, _t, ks, _v in large for c in ks})
         narrow = k.select(row_key, *key_cols)
         for _name, table, keys, values in large:
-            narrow = _salted_left_join(narrow, table, keys, values, values[0], hot_rows, salts)
+            narrow = large_join(narrow, table, keys, values)
         vals = [v for _n, _t, _k, vs in large for v in vs]
         k = k.join(narrow.select(row_key, *vals), row_key, "left")
     else:
         for _name, table, keys, values in large:
-            k = _salted_left_join(k, table, keys, values, values[0], hot_rows, salts)
+            k = large_join(k, table, keys, values)
     names = lookups.feature_names
     vals = {}
     for n in names:

@@ -243,6 +243,27 @@ def q_j_graph_lookup(spark, sf_dir):
     return out.select(F.col("Flow ID").alias("flow_id"), "split", *[r6(n).alias(n) for n in schema.graph_feature_names])
 
 
+def _stored_lookups(spark, sf_dir):
+    """Split flows, and the count tables of the training rows, written in buckets and read back."""
+    import uuid
+
+    from flowguard.session import ensure_checkpoint_dir
+
+    f = materialize(_labelled_lineitem(spark, sf_dir))
+    s = split.stratified_split(f, "Flow ID", "y", 0.25, 42)
+    g = graph.fit_graph(s.where(F.col("split") == "train"), FlowSchema.resolve(f.columns))
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lookups-{uuid.uuid4().hex[:12]}"
+    return s, graph.store_lookups(g, folder, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def q_j_graph_lookup_large(spark, sf_dir):
+    """The lookups against stored, bucketed count tables, none of them broadcast; keys of 200 and more
+    training rows are hot."""
+    s, g = _stored_lookups(spark, sf_dir)
+    out = graph.apply_graph(s, g, broadcast_rows=0, hot_rows=200)
+    return out.select(F.col("Flow ID").alias("flow_id"), "split", *[r6(n).alias(n) for n in g.feature_names])
+
+
 def q_w3_in_sample_graph(spark, sf_dir):
     f = flows_events(spark, sf_dir)
     schema = FlowSchema.resolve(f.columns)
@@ -578,6 +599,7 @@ REGISTRY = {
     "a2_host_degrees": q_a2_host_degrees,
     "a1_port_counts": q_a1_port_counts,
     "j_graph_lookup": q_j_graph_lookup,
+    "j_graph_lookup_large": q_j_graph_lookup_large,
     "w3_in_sample_graph": q_w3_in_sample_graph,
     "w4_stratified_split": q_w4_split,
     "w4_split_repeated_keys": q_w4_split_repeated_keys,

@@ -733,6 +733,7 @@ SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_rows, count(*) FILTER (WHERE {y_o
         "a2_host_degrees": A2_SQL,
         "a1_port_counts": A1_PORT_SQL,
         "j_graph_lookup": j_sql(),
+        "j_graph_lookup_large": j_sql(),
         "w3_in_sample_graph": w3_sql(),
         "w4_stratified_split": W4_SQL,
         "w4_split_repeated_keys": W4_REPEATED_SQL,
