@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from flowguard.functions.columns import to_number
 from flowguard.operators.exact_sums import exact_sums
-from flowguard.operators.order_stats import exact_quantiles
+from flowguard.operators.quantile_sketch import sketched_quantiles
 from flowguard.operators.row_groups import COUNT, HASH_FIRST_BYTES, can_hash, group_rows, plan_bytes
 
 
@@ -97,18 +97,14 @@ def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*cols).unpivot([], [F.col(f"`{c}`") for c in columns], "feature", "value")
 
 
-def column_medians(df: DataFrame, columns: list[str], method: str = "exact", accuracy: int = 100_000,
-                   stats: dict | None = None, with_counts: bool = False):
+def column_medians(df: DataFrame, columns: list[str], method: str = "exact", accuracy: int = 100_000, with_counts: bool = False):
     """A5: median of each column, missing values skipped; an all-missing column gives 0.
 
-    ``exact`` unpivots to (feature, value) and finds the two middle values of each feature by
-    histogram refinement: the first aggregate gives both the non-null count per column and a
-    log-scale first level, then (usually) one pass over the few rows of the chosen buckets. No
-    per-value buffers. ``approx`` is one pass of ``percentile_approx`` with the given accuracy.
-    With ``with_counts`` the non-null count per column (P7) is returned too.
+    ``exact`` unpivots to (feature, value) and takes two passes over the rows: a sketch per feature,
+    then the counts of the few values about its middle
+    (:mod:`flowguard.operators.quantile_sketch`). ``approx`` is one pass of ``percentile_approx`` with
+    the given accuracy. With ``with_counts`` the non-null count per column (P7) is returned too.
     """
-    from flowguard.operators.order_stats import quantiles_one_pass_start
-
     if not columns:
         return ({}, {}) if with_counts else {}
     if method == "approx":
@@ -119,18 +115,9 @@ def column_medians(df: DataFrame, columns: list[str], method: str = "exact", acc
         med = {c: (float(row[f"m{i}"]) if row[f"m{i}"] is not None else 0.0) for i, c in enumerate(columns)}
         counts = {c: int(row[f"n{i}"]) for i, c in enumerate(columns)}
         return (med, counts) if with_counts else med
-    long = long_values(df, columns)
-    start = None
-    if stats is None:
-        stats, start, _plan = quantiles_one_pass_start(long, "value", [0.5], ["feature"])
-    present = [(c,) for c in columns if (c,) in stats]
-    got = {}
-    if present:
-        kw = {"start": start} if start is not None else {}
-        res = exact_quantiles(long, "value", [0.5], ["feature"], groups=present, stats=stats, **kw)
-        got = {r["feature"]: r["value"] for r in res.collect()}
-    med = {c: float(got[c]) if got.get(c) is not None else 0.0 for c in columns}
-    counts = {c: int(stats[(c,)][0]) if (c,) in stats else 0 for c in columns}
+    found, n = sketched_quantiles(long_values(df, columns), "value", [0.5], ["feature"])
+    med = {c: found[(c,)][0.5] if (c,) in found else 0.0 for c in columns}
+    counts = {c: n.get((c,), 0) for c in columns}
     return (med, counts) if with_counts else med
 
 

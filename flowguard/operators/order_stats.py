@@ -8,8 +8,9 @@ that holds rank k becomes the next window. Once a window holds few rows
 number. A window whose low and high ends are equal needs no last pass: the value is known,
 however many rows share it (a value held by a third of all rows costs nothing extra).
 
-Used for exact medians (A5), score quantiles (A19, M13) and the exact stratified split
-(W4, W5), where the value is an md5 prefix and the ties are broken by the full md5 text.
+Used for the exact stratified split (W4, W5), where the value is an md5 prefix and the ties are
+broken by the full md5 text. Quantiles (A5, A19, M13) have a way of their own:
+:mod:`flowguard.operators.quantile_sketch`.
 """
 
 from __future__ import annotations
@@ -193,51 +194,24 @@ def exact_quantiles(
     probs: list[float],
     group_cols=(),
     groups: list[tuple] | None = None,
-    **kwargs,
 ) -> DataFrame:
     """Linear-interpolated quantiles (numpy's default) of ``value_col`` per group.
 
     Null and NaN values are skipped; infinite values take their place in the order. Returns
     ``(*group_cols, q, value)``; a group with no values is
-    absent. ``groups`` restricts the groups (default: every group present).
+    absent. ``groups`` restricts the groups (default: every group present). Two passes over the
+    data: :mod:`flowguard.operators.quantile_sketch`.
     """
-    spark = df.sparkSession
+    from flowguard.operators.quantile_sketch import sketched_quantiles
+
     group_cols = list(group_cols)
-    stats = kwargs.pop("stats", None)
-    start = None
-    df = df.where(F.col(value_col).isNotNull() & ~F.isnan(value_col))
-    if stats is None:
-        # one aggregate: counts per group and the first refinement level together
-        stats, start, _plan = quantiles_one_pass_start(df, value_col, probs, group_cols)
-    wanted = groups if groups is not None else list(stats)
-    targets: list[tuple[tuple, int]] = []
-    plan: list[tuple[tuple, float, int, int, float]] = []
-    for gk in wanted:
-        if gk not in stats:
-            continue
-        n = stats[gk][0]
-        for p in probs:
-            pos = float(p) * (n - 1)
-            lo_idx = int(pos // 1)
-            frac = pos - lo_idx
-            k_lo = lo_idx + 1
-            k_hi = min(k_lo + 1, n)
-            targets += [(gk, k_lo), (gk, k_hi)]
-            plan.append((gk, float(p), k_lo, k_hi, frac))
-    if start is not None:
-        kwargs["start"] = start
-    vals, tid_map = kth_smallest(df, value_col, sorted(set(targets)), group_cols, stats=stats, **kwargs)
-    # One value per target (bounded by groups x probabilities): interpolate on the driver.
-    got = {tid_map[r[_TID]]: r["value"] for r in vals.collect()}
-    rows = []
-    for gk, p, klo, khi, frac in plan:
-        lo, hi = float(got[(gk, klo)]), float(got[(gk, khi)])
-        rows.append((*gk, p, lo if lo == hi or frac == 0 else lo + (hi - lo) * frac))
+    found, _n = sketched_quantiles(df, value_col, probs, group_cols)
+    rows = [(*g, float(p), found[g][p]) for g in (groups if groups is not None else found) if g in found for p in probs]
     schema = T.StructType(
         [T.StructField(g, df.schema[g].dataType, True) for g in group_cols]
         + [T.StructField("q", T.DoubleType(), False), T.StructField("value", T.DoubleType(), True)]
     )
-    return spark.createDataFrame(rows, schema)
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def log_bucket(v: Column, sub: int = 16) -> Column:
@@ -261,45 +235,6 @@ def value_bucket(v: Column, sub: int = 16) -> Column:
     )
 
 
-def quantiles_one_pass_start(df: DataFrame, value_col: str, probs: list[float], group_cols=(), sub: int = 16):
-    """One aggregate for (a) non-null count per group and (b) the first refinement level.
-
-    Returns ``(stats, start, plan)`` for :func:`kth_smallest` and the interpolation:
-    ``stats[g] = (n, None, None)``, ``start[(g, k)] = (lo, hi, below, n_in)``,
-    ``plan = [(g, q, k_lo, k_hi, frac)]``. Buckets per group are bounded (binades x ``sub``);
-    the cumulative counts are a window per group over its buckets; only the buckets that hold
-    a target rank (groups x targets rows) come back to the driver.
-    """
-    group_cols = list(group_cols)
-    v = F.col(value_col)
-    hist = df.where(v.isNotNull() & ~F.isnan(v)).groupBy(*group_cols, value_bucket(v, sub).alias("__b")).agg(
-        F.count(F.lit(1)).alias("c"), F.min(v).alias("lo"), F.max(v).alias("hi")
-    )
-    wg = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(1))
-    w = wg.orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("cum", F.sum("c").over(w)).withColumn("n", F.sum("c").over(wg.rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)))
-    ks = []
-    for p in probs:
-        pos = F.lit(float(p)) * (F.col("n") - 1)
-        k_lo = F.floor(pos).cast("long") + 1
-        ks += [k_lo, F.least(k_lo + 1, F.col("n"))]
-    hist = hist.withColumn("__k", F.explode(F.array_distinct(F.array(*ks))))
-    rows = hist.where((F.col("cum") - F.col("c") < F.col("__k")) & (F.col("__k") <= F.col("cum"))).collect()
-    stats, start = {}, {}
-    for r in rows:
-        gk = tuple(r[g] for g in group_cols)
-        stats[gk] = (int(r["n"]), None, None)
-        start[(gk, int(r["__k"]))] = (r["lo"], r["hi"], int(r["cum"] - r["c"]), int(r["c"]))
-    plan = []
-    for gk, (n, _l, _h) in stats.items():
-        for p in probs:
-            pos = float(p) * (n - 1)
-            lo_idx = int(pos // 1)
-            plan.append((gk, float(p), lo_idx + 1, min(lo_idx + 2, n), pos - lo_idx))
-    return stats, start, plan
-
-
 def prefix_histogram(df: DataFrame, value_col: str, group_cols, shift: int) -> dict:
     """One aggregate pass: per group, count/min/max of ``value >> shift`` buckets.
 
