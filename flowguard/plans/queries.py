@@ -311,6 +311,13 @@ def q_a9_top_values(spark, sf_dir):
     return quality.top_counts(ev, F.col("user_id"), 10, "value")
 
 
+def q_a9_top_words(spark, sf_dir):
+    """The most frequent words of all documents, found by a bounded summary and counted exactly."""
+    docs = table(spark, sf_dir, "documents")
+    words = docs.select(F.explode(F.split("text", r"[\x20\x09-\x0D]+")).alias("w")).where("w != ''")
+    return quality.top_counts(words, F.col("w"), 25, "word", summary_first=True)
+
+
 def q_a10_cell_stats(spark, sf_dir):
     f = flows_lineitem(spark, sf_dir)
     c = quality.cell_stats(f, "Label")
@@ -606,6 +613,7 @@ REGISTRY = {
     "w5_fit_valid_split": q_w5_fit_valid_split,
     "a8_raw_label_counts": q_a8_raw_label_counts,
     "a9_top_values": q_a9_top_values,
+    "a9_top_words": q_a9_top_words,
     "a10_cell_stats": q_a10_cell_stats,
     "a15_inspection": q_a15_inspection,
     "p26_recommendations": q_p26_recommendations,

@@ -741,6 +741,8 @@ SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_rows, count(*) FILTER (WHERE {y_o
         "w5_fit_valid_split": W5_SQL,
         "a8_raw_label_counts": A8_SQL,
         "a9_top_values": A9_SQL,
+        "a9_top_words": r"""SELECT trim(w) AS word, count(*) AS count FROM (SELECT unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w FROM documents)
+GROUP BY ALL ORDER BY count DESC, word LIMIT 25""",
         "a10_cell_stats": A10_SQL,
         "a15_inspection": A15_SQL,
         "p26_recommendations": P26_SQL,
