@@ -3,14 +3,15 @@
 Curves and AUC work on the distinct-score table ``(score, pos, neg)``: one aggregate with
 map-side combine, so a score shared by a third of all rows is one row. Running sums over
 score order use :func:`cumulative_by_score`, a two-pass prefix sum over deterministic
-order-preserving score buckets (per-bucket totals, then offsets), never an unpartitioned
-window over all scores.
+order-preserving score buckets (bounded totals per bucket, then a window inside the bucket), never an
+unpartitioned window over all scores.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowguard.functions.columns import is_benign, label_text
 
@@ -75,7 +76,14 @@ def score_table(df: DataFrame, y: str = "y", score: str = "score", group_cols=()
     )
 
 
-def score_bucket(score: Column, sub: int = 4096) -> Column:
+#: Buckets per binade. A DOUBLE has some 2,100 binades of either sign, so there are at most 270,000
+#: buckets in all, and a few hundred for scores of one magnitude.
+BUCKETS_PER_BINADE = 64
+#: Distinct scores of a bucket that one running sum goes over; a fuller bucket is cut into cells.
+BUCKET_SCORES = 200_000
+
+
+def score_bucket(score: Column, sub: int = BUCKETS_PER_BINADE) -> Column:
     """Deterministic, order-preserving bucket of a score (log scale, ``sub`` per binade); +-inf and
     NaN get the outermost buckets."""
     from flowguard.operators.order_stats import value_bucket
@@ -83,46 +91,53 @@ def score_bucket(score: Column, sub: int = 4096) -> Column:
     return value_bucket(score, sub)
 
 
-def cumulative_by_score(table: DataFrame, sum_cols: list[str], descending: bool = True, group_cols=()) -> DataFrame:
+def cumulative_by_score(table: DataFrame, sum_cols: list[str], descending: bool = True, group_cols=(), bucket_scores: int = BUCKET_SCORES) -> DataFrame:
     """Running sums of ``sum_cols`` over score order (inclusive), per group.
 
-    Prefix sums in three levels over the distinct-score table. A score's binade, its bucket (4096
-    per binade) and its cell (4096 per bucket) follow from the score itself, so a recomputed
-    partition (lost executor) lands in the same place. Running sums inside a cell, the exclusive
-    sums of a bucket's cells and of a binade's buckets are windows whose partitions have at most
-    4096 rows at the upper levels; only the binades' totals (about 4200 at most, the range of a
-    DOUBLE's exponent) are summed in one window per group. The offsets come back by joins on the
-    cell, so no offset table is broadcast by hint.
+    One aggregate counts the distinct scores and sums of each bucket; a bucket follows from the score
+    itself, so a recomputed partition (lost executor) lands in the same place. Buckets are bounded by
+    the range of a DOUBLE (and the caller's groups), so their totals are summed on the driver and
+    come back as a small table. Inside a bucket the running sum is a window. A bucket with more
+    than ``bucket_scores`` distinct scores is cut into as many equal cells of its own range as keep to
+    that number when scores are spread; the cells' sums are added up by a window over cells.
     """
-    fine, mid = 1 << 24, 4096
-    keys = [*group_cols, "__binade", "__bucket", "__cell"]
-    cell = score_bucket(F.col("score"), fine)
-    # truncation towards zero on both sides keeps the mirrored order of negative scores
-    up = lambda c, n: (F.signum(c) * F.floor((F.abs(c) - 1) / n)).cast("long") * 2 + (c > 0).cast("long")
-    t = table.withColumn("__cell", cell).withColumn("__bucket", up(F.col("__cell"), fine // mid)).withColumn("__binade", up(F.col("__cell"), fine))
-    order = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    names = {c: f"__s{i}" for i, c in enumerate(sum_cols)}
-
-    def ahead(frame: DataFrame, inside: list[str], at: str, out: str) -> DataFrame:
-        """Exclusive sums over ``at`` within ``inside``, and the rows' own totals."""
-        w = Window.partitionBy(*inside) if inside else Window.partitionBy(F.lit(1))
-        w = w.orderBy(order(at)).rowsBetween(Window.unboundedPreceding, -1)
-        return frame.select("*", *[F.coalesce(F.sum(n).over(w), F.lit(0)).alias(f"{out}{n}") for n in names.values()])
-
-    def total(frame: DataFrame, by: list[str]) -> DataFrame:
-        return frame.groupBy(*by).agg(*[F.sum(n).alias(n) for n in names.values()])
-
-    cells = t.groupBy(*keys).agg(*[F.sum(c).alias(n) for c, n in names.items()])
-    buckets = total(cells, keys[:-1])
-    binades = total(buckets, keys[:-2])
-    cells = ahead(cells, keys[:-1], "__cell", "__a").drop(*names.values())
-    buckets = ahead(buckets, keys[:-2], "__bucket", "__b").drop(*names.values())
-    binades = ahead(binades, list(group_cols), "__binade", "__c").drop(*names.values())
-    offsets = cells.join(buckets, keys[:-1]).join(binades, keys[:-2])
-    offsets = offsets.select(*keys, *[(F.col(f"__a{n}") + F.col(f"__b{n}") + F.col(f"__c{n}")).alias(n) for n in names.values()])
-    inside = Window.partitionBy(*keys).orderBy(order("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = t.select("*", *[F.sum(c).over(inside).alias(f"__l{n}") for c, n in names.items()])
-    return local.join(offsets, keys).select(*table.columns, *[(F.col(n) + F.col(f"__l{n}")).alias(f"cum_{c}") for c, n in names.items()])
+    spark, groups = table.sparkSession, list(group_cols)
+    t = table.withColumn("__b", score_bucket(F.col("score")))
+    sums = [F.sum(c).alias(f"__s{i}") for i, c in enumerate(sum_cols)]
+    found = t.groupBy(*groups, "__b").agg(F.count(F.lit(1)).alias("__d"), F.min("score").alias("__lo"), F.max("score").alias("__hi"), *sums).collect()
+    ahead: dict[tuple, list[int]] = {}
+    rows = []
+    for r in sorted(found, key=lambda r: r["__b"], reverse=descending):
+        key = tuple(r[g] for g in groups)
+        before = ahead.setdefault(key, [0] * len(sum_cols))
+        cells = -(-r["__d"] // bucket_scores)
+        lo, hi = float(r["__lo"]), float(r["__hi"])
+        rows.append((*key, r["__b"], cells if lo < hi else 1, lo, hi, *before))
+        ahead[key] = [n + int(r[f"__s{i}"]) for i, n in enumerate(before)]
+    schema = T.StructType(
+        [T.StructField(f"__g{i}", table.schema[g].dataType) for i, g in enumerate(groups)]
+        + [T.StructField("__at", T.LongType()), T.StructField("__cells", T.LongType()), T.StructField("__lo", T.DoubleType()), T.StructField("__hi", T.DoubleType())]
+        + [T.StructField(f"__o{i}", T.LongType()) for i in range(len(sum_cols))]
+    )
+    buckets = spark.createDataFrame(rows, schema)  # Spark knows its size, and broadcasts it where it is small
+    same = [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(groups)]
+    order = F.col("score").desc() if descending else F.col("score").asc()
+    whole = t.join(buckets, [F.col("__b") == F.col("__at"), *same])
+    keys = [*groups, "__b"]
+    offsets = [F.col(f"__o{i}") for i in range(len(sum_cols))]
+    if any(r[len(groups) + 1] > 1 for r in rows):
+        share = (F.col("score") - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))
+        cell = F.when(F.col("__cells") > 1, F.least(F.col("__cells") - 1, F.floor(share * F.col("__cells")))).otherwise(0)
+        whole = whole.withColumn("__cell", cell)
+        cells = whole.groupBy(*keys, "__cell").agg(*sums)
+        w = Window.partitionBy(*keys).orderBy(F.col("__cell").desc() if descending else F.col("__cell").asc()).rowsBetween(Window.unboundedPreceding, -1)
+        names = {c: f"__k{i}" for i, c in enumerate([*keys, "__cell"])}
+        cells = cells.select(*[F.col(c).alias(n) for c, n in names.items()], *[F.coalesce(F.sum(f"__s{i}").over(w), F.lit(0)).alias(f"__c{i}") for i in range(len(sum_cols))])
+        whole = whole.join(cells, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
+        keys.append("__cell")
+        offsets = [o + F.col(f"__c{i}") for i, o in enumerate(offsets)]
+    inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return whole.select(*table.columns, *[(F.sum(c).over(inside) + o).alias(f"cum_{c}") for c, o in zip(sum_cols, offsets, strict=True)])
 
 
 def curve_table(df: DataFrame, y: str = "y", score: str = "score", group_cols=()) -> DataFrame:

@@ -13,19 +13,19 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_curves_sum_by_cell_and_broadcast_no_offsets(spark):
+def test_curves_sum_by_bucket_and_broadcast_no_offsets(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = _plan(metrics.cumulative_by_score(metrics.score_table(scored_lineitem(spark, SF_SMALL)), ["pos", "neg"]))
+        table = metrics.score_table(scored_lineitem(spark, SF_SMALL))
+        plain = _plan(metrics.cumulative_by_score(table, ["pos", "neg"]))
+        cells = _plan(metrics.cumulative_by_score(table, ["pos", "neg"], bucket_scores=5))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert len(windows) == 4  # cells, buckets, binades, rows of a cell
-    assert sum("__cell" in w.split("windowspecdefinition")[1].split("ASC")[0].split("DESC")[0] for w in windows) >= 2
-    assert "BroadcastExchange" not in plan
-    # the one window that isn't partitioned runs over binades, at most about 4200 rows
-    single = [i for i, line in enumerate(plan.splitlines()) if "SinglePartition" in line]
-    assert all("__binade" in plan.splitlines()[i + 1] for i in single)
+    for plan, count in ((plain, 1), (cells, 2)):  # rows of a bucket; cells of a full bucket, rows of a cell
+        windows = [line.split("windowspecdefinition")[1].split("ASC")[0].split("DESC")[0] for line in plan.splitlines() if "Window [" in line]
+        assert len(windows) == count and all("__b#" in w for w in windows)
+        assert "BroadcastExchange" not in plan and "SinglePartition" not in plan
+    assert "__cell" in cells
 
 
 def test_scan_reads_only_needed_columns_and_pushes_filters(spark):
