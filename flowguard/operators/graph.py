@@ -96,29 +96,45 @@ def fit_graph(train: DataFrame, schema: FlowSchema, persist: str = "cache", coun
     """
     from flowguard.session import materialize
 
-    k = with_graph_keys(train, schema)
-    g = GraphLookups(schema)
-    sets, names = [], []
+    if not key_sets(schema):
+        return GraphLookups(schema)
+    return lookups_of_counts(materialize(key_counts(train, schema), persist), schema, count_sizes)
+
+
+def key_sets(schema: FlowSchema) -> dict[str, list[str]]:
+    """The keys that are counted, by name of their table; host tables follow from the edges."""
+    sets = {}
     if schema.src_ip and schema.dst_ip:
-        sets.append([K_SRC, K_DST]); names.append("edge")
+        sets["edge"] = [K_SRC, K_DST]
     if schema.dst_port:
-        sets.append([K_DPORT]); names.append("dport")
+        sets["dport"] = [K_DPORT]
     if schema.src_ip and schema.dst_port:
-        sets.append([K_SRC, K_DPORT]); names.append("src_dport")
+        sets["src_dport"] = [K_SRC, K_DPORT]
     if schema.src_port:
-        sets.append([K_SPORT]); names.append("sport")
-    if not sets:
-        return g
-    cols = sorted({c for st in sets for c in st})
-    counts = k.groupingSets([[F.col(c) for c in st] for st in sets], *[F.col(c) for c in cols]).agg(
+        sets["sport"] = [K_SPORT]
+    return sets
+
+
+def key_counts(flows: DataFrame, schema: FlowSchema) -> DataFrame:
+    """``(key columns, n, gid)``: rows per key of every set, one shuffle after partial counts."""
+    sets = key_sets(schema)
+    cols = sorted({c for st in sets.values() for c in st})
+    k = with_graph_keys(flows, schema)
+    return k.groupingSets([[F.col(c) for c in st] for st in sets.values()], *[F.col(c) for c in cols]).agg(
         F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid")
     )
-    counts = materialize(counts, persist)
+
+
+def lookups_of_counts(counts: DataFrame, schema: FlowSchema, count_sizes: bool = True) -> GraphLookups:
+    """The lookup tables of a kept table of :func:`key_counts` (or of several, merged)."""
+    g = GraphLookups(schema)
+    sets = key_sets(schema)
+    cols = sorted({c for st in sets.values() for c in st})
 
     def gid_of(st):
         return sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in st)
 
-    parts = {nm: counts.where(F.col("gid") == gid_of(st)).select(*st, "n") for nm, st in zip(names, sets)}
+    parts = {nm: counts.where(F.col("gid") == gid_of(st)).select(*st, "n") for nm, st in sets.items()}
     if "edge" in parts:
         edge = parts["edge"].withColumnRenamed("n", "graph_edge_count")
         g.edge = edge
@@ -145,9 +161,9 @@ def fit_graph(train: DataFrame, schema: FlowSchema, persist: str = "cache", coun
               if "edge" in parts else []),
         ).collect()
         by_gid = {r["gid"]: r for r in agg}
-        g.sizes = {nm: int(by_gid[gid_of(st)]["c"]) if gid_of(st) in by_gid else 0 for nm, st in zip(names, sets)}
-        if "edge" in parts and gid_of(sets[0]) in by_gid:
-            r = by_gid[gid_of(sets[0])]
+        g.sizes = {nm: int(by_gid[gid_of(st)]["c"]) if gid_of(st) in by_gid else 0 for nm, st in sets.items()}
+        if "edge" in parts and gid_of(sets["edge"]) in by_gid:
+            r = by_gid[gid_of(sets["edge"])]
             g.sizes["src"] = min(g.sizes["edge"], int(r["us"] * 1.1) + 1)
             g.sizes["dst"] = min(g.sizes["edge"], int(r["ud"] * 1.1) + 1)
     return g

@@ -225,6 +225,43 @@ def q_a2_host_degrees(spark, sf_dir):
     return s.unionByName(d)
 
 
+def _monthly_counts(spark, sf_dir):
+    """Lookups over the line-item flows, from the stored counts of three parts of the year by ship month."""
+    import uuid
+
+    from flowguard.operators import graph_state
+    from flowguard.session import ensure_checkpoint_dir
+
+    f = flows_lineitem(spark, sf_dir).withColumn("month", F.substring(F.split("Flow ID", r"\|")[4], 6, 2))
+    schema = FlowSchema.resolve(f.columns)
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/periods-{uuid.uuid4().hex[:12]}"
+    parts = {"q1": ["01", "02", "03"], "q2": ["04", "05", "06"], "rest": [f"{m:02d}" for m in range(7, 13)]}
+    for name, months in parts.items():
+        graph_state.save_period(f.where(F.col("month").isin(months)), schema, folder, name)
+    return graph_state.fit_periods(spark, schema, folder, list(parts))
+
+
+def q_a2_merged_periods(spark, sf_dir):
+    """Host counts and distinct neighbours from merged count tables of three periods."""
+    g = _monthly_counts(spark, sf_dir)
+    s = g.src.select(F.lit("src").alias("role"), F.col(graph.K_SRC).alias("host"), F.col("graph_src_out_count").alias("rows"), F.col("graph_src_unique_dst").alias("distinct_peers"))
+    d = g.dst.select(F.lit("dst").alias("role"), F.col(graph.K_DST).alias("host"), F.col("graph_dst_in_count").alias("rows"), F.col("graph_dst_unique_src").alias("distinct_peers"))
+    return s.unionByName(d)
+
+
+def q_a2_sketched_degrees(spark, sf_dir):
+    """Rows per host, and whether the merged sketches' neighbour counts keep to five standard errors."""
+    from flowguard.operators import graph_state
+
+    f = flows_lineitem(spark, sf_dir)
+    schema = FlowSchema.resolve(f.columns)
+    halves = [graph_state.host_sketches(f.where(F.col("Source Port") % 2 == k), schema) for k in (0, 1)]
+    got = graph_state.host_degrees(graph_state.merge_host_sketches(halves))
+    exact = q_a2_host_degrees(spark, sf_dir).select("role", "host", F.col("distinct_peers").alias("exact"))
+    near = F.abs(F.col("distinct_peers") - F.col("exact")) <= 5 * graph_state.SKETCH_ERROR * F.col("exact") + 0.5
+    return got.join(exact, ["role", "host"]).select("role", "host", "rows", near.alias("within_error"))
+
+
 def q_a1_port_counts(spark, sf_dir):
     f = flows_lineitem(spark, sf_dir)
     g = graph.fit_graph(f, FlowSchema.resolve(f.columns))
@@ -604,6 +641,8 @@ REGISTRY = {
     "m21_prepare_all": q_m21_prepare_all,
     "a1_edge_counts": q_a1_edge_counts,
     "a2_host_degrees": q_a2_host_degrees,
+    "a2_merged_periods": q_a2_merged_periods,
+    "a2_sketched_degrees": q_a2_sketched_degrees,
     "a1_port_counts": q_a1_port_counts,
     "j_graph_lookup": q_j_graph_lookup,
     "j_graph_lookup_large": q_j_graph_lookup_large,

