@@ -72,6 +72,35 @@ def q_p5_to_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _event_lines(spark, sf_dir):
+    """The events as lines of a CSV file, with a quoted field; some lines have a field too many, some
+    end early."""
+    e = table(spark, sf_dir, "events")
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    quoted = F.concat(F.lit('"'), F.replace(text("props"), F.lit('"'), F.lit('""')), F.lit('"'))
+    whole = F.concat_ws(",", text("event_id"), text("user_id"), quoted, text("event_type"))
+    line = F.when(F.col("event_id") % 97 == 0, F.concat(whole, F.lit(","))).when(F.col("event_id") % 89 == 0, text("event_id")).otherwise(whole)
+    return e.select(line.alias("line"))
+
+
+EVENT_LINE_COLUMNS = ["event_id", "user_id", "props", "event_type"]
+
+
+def q_s2_csv_lines(spark, sf_dir):
+    """Lines through the loader's parser: quoted fields, short lines filled up, long ones left out."""
+    from flowguard.sources.csv import flow_rows, parse_lines
+
+    parsed = parse_lines(_event_lines(spark, sf_dir), "line", len(EVENT_LINE_COLUMNS))
+    return flow_rows(parsed, EVENT_LINE_COLUMNS, "skip")
+
+
+def q_s2_quarantine(spark, sf_dir):
+    """The lines that the loader leaves out."""
+    from flowguard.sources.csv import has_more_fields
+
+    return _event_lines(spark, sf_dir).where(has_more_fields(F.col("line"), len(EVENT_LINE_COLUMNS)))
+
+
 def q_p8_binary_label(spark, sf_dir):
     f = flows_events(spark, sf_dir)
     return f.groupBy(label_text(F.col("Label")).alias("label_raw"), binary_label(F.col("Label")).alias("y")).agg(
@@ -622,6 +651,8 @@ def q_m7_linear_reconstruction(spark, sf_dir):
 
 REGISTRY = {
     "p5_to_number": q_p5_to_number,
+    "s2_csv_lines": q_s2_csv_lines,
+    "s2_quarantine": q_s2_quarantine,
     "p8_binary_label": q_p8_binary_label,
     "s4_head_per_group": q_s4_head_per_group,
     "s5_seeded_sample": q_s5_seeded_sample,

@@ -58,6 +58,14 @@ scored_documents AS (
 
 REPEATING_FLOWS = """repeating AS (SELECT * FROM flows_lineitem UNION ALL SELECT * FROM flows_lineitem WHERE "Source IP" LIKE '%7')"""
 
+S2_LINES_SQL = """
+SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN event_id % 89 <> 0 THEN CAST(user_id AS VARCHAR) END AS user_id,
+       CASE WHEN event_id % 89 <> 0 THEN nullif(props, '') END AS props, CASE WHEN event_id % 89 <> 0 THEN nullif(event_type, '') END AS event_type
+FROM events WHERE event_id % 97 <> 0"""
+
+S2_QUARANTINE_SQL = """
+SELECT concat(event_id, ',', user_id, ',"', replace(coalesce(props, ''), '"', '""'), '",', event_type, ',') AS line FROM events WHERE event_id % 97 = 0"""
+
 EPS = "2.220446049250313e-16"
 LI_FEATURES = ["Source Port", "Destination Port", "Quantity", "Extended Price", "Discount", "Tax", "Price Rate"]
 GRAPH = [
@@ -712,6 +720,8 @@ def oracle_sql() -> dict[str, str]:
 def _oracle_sql() -> dict[str, str]:
     return {
         "p5_to_number": P5_SQL,
+        "s2_csv_lines": S2_LINES_SQL,
+        "s2_quarantine": S2_QUARANTINE_SQL,
         "p8_binary_label": P8_SQL,
         "s4_head_per_group": S4_SQL,
         "s5_seeded_sample": S5_SQL,
