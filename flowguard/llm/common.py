@@ -4,6 +4,7 @@ connected components."""
 
 from __future__ import annotations
 
+import ctypes
 import math
 import uuid
 from collections.abc import Iterator
@@ -102,6 +103,17 @@ def text_buffer(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return what a finished batch has left in the allocators: a worker lives on through later
+    stages, and would hold the memory of its largest batch beside theirs."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive row ranges of a batch with about ``most`` bytes of text each, so that memory
     follows the slice and not the batch. A longer text is a slice of its own."""
@@ -114,6 +126,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
         to = max(at + 1, int(np.searchsorted(off, off[at] + most, "right")) - 1)
         yield batch.slice(at, to - at)
         at = to
+    give_back()
 
 
 class Words:
