@@ -75,3 +75,39 @@ def test_importance_formula(spark):
     tree = x.Importance([tuple(n) for n in nodes])
     assert tree.of(leaf.path) == pytest.approx(1 - leaf.content_entropy)
     assert tree.of(12345) == 1.0
+
+
+@pytest.mark.parametrize("n", [2, 3, 5, 7])
+def test_hosts_of_few_pages(spark, n):
+    rows = [(i, "https://few.example/", f"<body><div><span>All rights with Acme</span></div><div class=x><p>story {i} told once</p></div><div class=k>Call us</div></body>") for i in range(n)]
+    rows += [(100, "https://one.example/", "<body><div><span>All rights with Acme</span></div><div class=x><p>story told once</p></div></body>")]
+    rows += [(200 + i, "https://copies.example/", f"<article><h1>title {i}</h1><p>the same<p>in every<p>copy</article>") for i in range(n)]
+    got = {r.page_id: r.text for r in x.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(n)] == [f"story {i} told once" for i in range(n)]
+    assert got[100] == "All rights with Acme\nstory told once"
+    assert got[200] == "title 0\nthe same\nin every\ncopy"
+
+
+def test_copies_of_an_article_stay_whole(spark):
+    rows = [(i, "https://copies.example/", f"<article><h1>title {i}</h1><p>the same<p>in every<p>copy</article>") for i in range(30)]
+    got = x.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert all(r.text == f"title {r.page_id}\nthe same\nin every\ncopy" for r in got)
+
+
+def test_names_of_ordinary_sections_need_the_tree(spark):
+    page = "<article><h2 id='related-work'>Related work</h2><p>a {0}</p><section id='discussion'><p>b {0}</p></section><p class='legal-analysis'>c {0}</p><p id='search-results'>d {0}</p>{1}</article>"
+    assert text(page.format(1, "")) == "Related work\na 1\nb 1\nc 1\nd 1"
+    assert text(page.format(1, "<div class='related'><a href=x>other story</a> <a href=y>and one more</a></div>")) == "Related work\na 1\nb 1\nc 1\nd 1"
+    rows = [(i, "https://h.example/", page.format(i, f"<div class='related'>See {'the archive' if i % 2 else 'our shop'}</div>")) for i in range(12)]
+    got = {r.page_id: r.text for r in x.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    # two texts take turns: repeated enough for a branch with such a name; the heading is on every page
+    assert got == {i: f"a {i}\nb {i}\nc {i}\nd {i}" for i in range(12)}
+
+
+def test_deep_and_long_pages(spark):
+    deep = "<div>" * 20_000 + "<p>bottom</p>" + "</div>" * 20_000
+    long = "<body>" + "".join(f"<p>block {k}" for k in range(50_000))
+    rows = [(i, "https://deep.example/", deep + f"<p>page {i}") for i in range(9)] + [(50, "https://long.example/", long)]
+    got = {r.page_id: r.text for r in x.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[4] == "page 4"
+    assert got[50].count("\n") == 49_999 and got[50].endswith("block 49999")
