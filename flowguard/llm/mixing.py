@@ -16,7 +16,12 @@ child draws its part from the node's quotas by a multivariate hypergeometric dra
 the other, each an inverse-CDF hypergeometric draw with a hashed uniform number), so every shard
 gets an exact number of blocks whose sources mix as in a random shuffle of everything. A shard's
 blocks of a source are a run of draw numbers, hence disjoint from all others; a shard is then
-shuffled locally by a hashed key.
+shuffled locally by a hashed key, in cells of that key, so that no task sorts a whole shard.
+
+Rows are numbered in a stored table first and keep their number through lines, draws and texts, so
+null and repeated ids are documents like any other. A document's text meets the list of its draws
+once and is cut into pieces there; the words taken are the words of these pieces. Its words are one
+array while it is cut, so a task needs room for the longest text.
 
 The table of sources (and source x shard quotas) is treated as metadata: its weights are parameters.
 It is sorted in one task; nothing else is.
@@ -42,18 +47,27 @@ SEED = 17
 BLOCK_WORDS, LEAST_BLOCKS = 1024, 4096
 #: Documents of a bucket of the hashed order, about.
 BUCKET_ROWS = 50_000
+#: Words of a cell of a shard's shuffled order, about.
+CELL_WORDS = 4_000_000
 #: Primes; the first that does not divide the number of blocks permutes them.
 PRIMES = (99999989, 99999971, 99999959, 99999941, 99999931, 99999847, 99999839)
 
 SIZE = r"[^\x20\x09-\x0D]+"
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, size, key``: words of each row and its place in the hashed order."""
-    return docs.select(
+def numbered(docs: DataFrame) -> DataFrame:
+    """``row, doc_id, source, text, size``, stored: each row with a number of its own and its words."""
+    size = F.coalesce(F.regexp_count("text", F.lit(SIZE)), F.lit(0)).cast("long")
+    return store(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", "text", size.alias("size")), "mix-rows")
+
+
+def sized(rows: DataFrame) -> DataFrame:
+    """``row, doc_id, source, size, key``: words of each row and its place in the hashed order."""
+    return rows.select(
+        "row",
         "doc_id",
         "source",
-        F.coalesce(F.regexp_count("text", F.lit(SIZE)), F.lit(0)).cast("long").alias("size"),
+        "size",
         F.conv(F.substring(F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(str(SEED)))), 1, 15), 16, 10).cast("long").alias("key"),
     )
 
@@ -142,21 +156,21 @@ def shard_quotas(plan: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def on_line(sizes: DataFrame, plan: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """``sid, doc_id, size, off``: where each document's words begin on its source's line."""
-    rows = sizes.join(plan.select("sid", F.col("source").alias("s")), F.col("source").eqNullSafe(F.col("s"))).select("sid", "doc_id", "size", "key")
+    """``sid, row, doc_id, size, off``: where each document's words begin on its source's line."""
+    rows = sizes.join(plan.select("sid", F.col("source").alias("s")), F.col("source").eqNullSafe(F.col("s"))).select("sid", "row", "doc_id", "size", "key")
     buckets = max(1, rows.count() // bucket_rows)
     width = (1 << 60) // buckets + 1
     rows = rows.withColumn("bucket", F.expr(f"key div {width}L"))
     totals = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
     ahead = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("sid", "bucket", F.coalesce(F.sum("words").over(ahead), F.lit(0).cast("long")).alias("base"))
-    inside = Window.partitionBy("sid", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("sid", "bucket").orderBy("key", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("upto", F.sum("size").over(inside)).join(totals, ["sid", "bucket"])
-    return rows.select("sid", "doc_id", "size", (F.col("base") + F.col("upto") - F.col("size")).alias("off"))
+    return rows.select("sid", "row", "doc_id", "size", (F.col("base") + F.col("upto") - F.col("size")).alias("off"))
 
 
 def block_draws(placed: DataFrame, plan: DataFrame, bounds: DataFrame) -> DataFrame:
-    """One row per taken piece of a document: ``sid, off, doc_id, draw, epoch, shard, shuffle_key,
+    """One row per taken piece of a document: ``sid, off, row, doc_id, draw, epoch, shard, shuffle_key,
     from_word, n_words`` (``from_word`` counts from 0 in the document)."""
     p = placed.where("size > 0").join(plan.select("sid", "block", "n_blocks", "quota", "prime").join(bounds, "sid"), "sid")
     p = p.withColumn("b", F.explode(F.expr("sequence(off div block, (off + size - 1) div block)")))
@@ -164,32 +178,59 @@ def block_draws(placed: DataFrame, plan: DataFrame, bounds: DataFrame) -> DataFr
     p = p.withColumn("draw", F.explode(F.expr("filter(array(rank, rank + n_blocks), j -> j < quota)")))
     shard = F.size(F.filter("bounds", lambda x: x <= F.col("draw"))) - 1
     return p.select(
-        "sid", "off", "doc_id", "draw", F.expr("draw div n_blocks").alias("epoch"), shard.alias("shard"), F.xxhash64(F.lit(SEED), "sid", "draw").alias("shuffle_key"),
+        "sid", "off", "row", "doc_id", "draw", F.expr("draw div n_blocks").alias("epoch"), shard.alias("shard"), F.xxhash64(F.lit(SEED), "sid", "draw").alias("shuffle_key"),
         F.expr("greatest(off, b * block) - off").alias("from_word"), F.expr("least(off + size, (b + 1) * block) - greatest(off, b * block)").alias("n_words"),
     )
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, shards: int = SHARDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(plan per source, documents on their lines, draws)."""
-    sizes = store(sized(docs), "mix-sizes")
+    return mix_rows(numbered(docs), weights, share, shards)
+
+
+def mix_rows(rows: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, shards: int = SHARDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``mix`` of ``numbered`` rows."""
+    sizes = sized(rows)
     plan = store(source_plan(sizes, weights, share), "mix-plan")
     placed = store(on_line(sizes, plan), "mix-lines")
     return plan, placed, block_draws(placed, plan, shard_quotas(plan, shards))
 
 
-def taken(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, shards: int = SHARDS) -> DataFrame:
-    """Per document row: ``doc_id, size, source_size, target, taken``."""
-    plan, placed, draws = mix(docs, weights, share, shards)
-    got = draws.groupBy("sid", "off", "doc_id").agg(F.sum("n_words").alias("words"))
-    rows = placed.join(got.withColumnsRenamed({"doc_id": "d", "sid": "s", "off": "o"}), (F.col("sid") == F.col("s")) & (F.col("off") == F.col("o")) & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("size") > 0), "left")
-    return rows.join(plan.select("sid", "source_size", "target"), "sid").select("doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0).cast("long")).alias("taken"))
+def pieces(rows: DataFrame, draws: DataFrame) -> DataFrame:
+    """``row, doc_id, shard, shuffle_key, sid, draw, off, text, n_words`` of each draw: the text cut out
+    of its row (words joined by one space) and the words it has."""
+    fields = ["shard", "shuffle_key", "sid", "draw", "off", "from_word", "n_words"]
+    lists = draws.groupBy("row").agg(F.collect_list(F.struct(*fields)).alias("draws"))
+    both = rows.where("size > 0").select("row", "doc_id", "text").join(lists, "row")
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
+    def cut(words: Column, d: Column) -> Column:
+        part = F.slice(words, d["from_word"].cast("int") + 1, d["n_words"].cast("int"))
+        return F.struct(*[d[f].alias(f) for f in fields[:5]], F.array_join(part, " ").alias("text"), F.size(part).cast("long").alias("n_words"))
 
-def shard_texts(docs: DataFrame, draws: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The mix itself, for unique doc_ids: ``shard, shuffle_key, draw, doc_id, text``, each shard's
-    blocks in shuffled order (and the pieces of one block in line order)."""
-    words = docs.select("doc_id", F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("words"))
-    piece = F.array_join(F.expr("slice(words, cast(from_word + 1 as int), cast(n_words as int))"), " ")
-    out = draws.join(words, "doc_id").select("shard", "shuffle_key", "sid", "draw", "off", "doc_id", piece.alias("text"))
-    return out.repartition(shards, "shard").sortWithinPartitions("shard", "shuffle_key", "sid", "draw", "off").drop("sid", "off")
+    # an array of one, so that a text is split once however many draws it has
+    cuts = F.transform(F.array(words), lambda w: F.transform("draws", lambda d: cut(w, d)))[0]
+    return both.select("row", "doc_id", F.explode(cuts).alias("p")).select("row", "doc_id", "p.*")
 
+
+def taken(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, shards: int = SHARDS) -> DataFrame:
+    """Per document row: ``doc_id, size, source_size, target, taken`` (words of its pieces)."""
+    rows = numbered(docs)
+    plan, placed, draws = mix_rows(rows, weights, share, shards)
+    got = pieces(rows, draws).groupBy("row").agg(F.sum("n_words").alias("words"))
+    out = placed.join(got, "row", "left").join(plan.select("sid", "source_size", "target"), "sid")
+    return out.select("doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0).cast("long")).alias("taken"))
+
+
+def shard_texts(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, shards: int = SHARDS, cell_words: int = CELL_WORDS) -> DataFrame:
+    """The mix itself: ``shard, cell, shuffle_key, draw, doc_id, text``. A shard is read cell by cell;
+    a cell's blocks are in shuffled order, and the pieces of one block in line order."""
+    rows = numbered(docs)
+    plan, _, draws = mix_rows(rows, weights, share, shards)
+    words = plan.agg(F.sum(F.col("quota") * F.col("block"))).first()[0] or 0
+    cells = -(-words // (shards * cell_words)) or 1
+    # shuffle keys are uniform over 64 bits, negative ones first
+    cell = F.floor((F.col("shuffle_key").cast("double") / F.lit(2.0**64) + 0.5) * cells)
+    out = pieces(rows, draws).withColumn("cell", F.least(cell, F.lit(cells - 1)).cast("long"))
+    out = out.repartition(shards * cells, "shard", "cell").sortWithinPartitions("shard", "cell", "shuffle_key", "sid", "draw", "off")
+    return out.select("shard", "cell", "shuffle_key", "draw", "doc_id", "text")

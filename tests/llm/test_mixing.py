@@ -86,12 +86,36 @@ def test_hypergeometric_distribution(spark):
 
 def test_texts_of_shards(spark):
     docs = spark.createDataFrame([(i, f" a{i}  b{i}\nc{i} ", f"s{i % 4}") for i in range(60)], "doc_id long, text string, source string")
-    _, _, draws = mixing.mix(docs, shards=3)
-    rows = mixing.shard_texts(docs, draws, 3).collect()
+    rows = mixing.shard_texts(docs, shards=3).collect()
     words = collections.Counter(w for r in rows for w in r.text.split(" "))
     taken = {r.doc_id: r.taken for r in mixing.taken(docs, shards=3).collect()}
     for d, n in taken.items():
         assert sum(words[f"{x}{d}"] for x in "abc") == n and all(words[f"{x}{d}"] <= 2 for x in "abc")
+    small = mixing.shard_texts(docs, shards=3, cell_words=10).collect()
+    assert len({(r.shard, r.cell) for r in small}) > 9
+    key = lambda r: (r.shard, r.cell, r.shuffle_key)
+    # cells follow the key, so a shard read cell by cell is in the order it has in one cell
+    assert [key(r)[::2] for r in sorted(small, key=key)] == sorted((r.shard, r.shuffle_key) for r in rows)
+
+
+def test_words_written_are_the_words_taken(spark):
+    rows = [(None, f"n{i}x n{i}y n{i}z", "s") for i in range(30)] + [(7, "r1 r2", "s"), (7, "r1 r2", "s"), (7, "q1 q2 q3", "t"), (7, None, "t"), (8, "", None), (None, " w\u00e9\t ", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("row", F.lit("x")).withColumn("shard", F.lit(9))
+    taken = mixing.taken(docs).collect()
+    written = mixing.shard_texts(docs).collect()
+    assert len(taken) == len(rows) and all(r.taken <= 2 * r["size"] for r in taken)
+    words = collections.Counter(w for r in written for w in r.text.split(" "))
+    assert sum(words.values()) == sum(r.taken for r in taken)
+    have = collections.Counter(w for _, t, _ in rows for w in (t or "").split())
+    assert all(words[w] <= 2 * have[w] for w in words)
+    assert words["w\u00e9"] == sum(r.taken for r in taken if r.source_size == 1)
+    by_id = collections.Counter()
+    for r in written:
+        by_id[r.doc_id] += len(r.text.split(" "))
+    want = collections.Counter()
+    for r in taken:
+        want[r.doc_id] += r.taken
+    assert +by_id == +want
 
 
 def test_edge_cases(spark):
