@@ -2,7 +2,7 @@
 
 Tokens of a text: its words (A-Z lower-cased, ``[^\\x20\\x09-\\x0D]+``), then one end. A word's
 subwords come from a public tokenizer file (a parameter; its bytes are broadcast); the most frequent
-pieces of a bounded sample and all single bytes form the model's ids, so any word can be spelled.
+pieces of the training texts and all single bytes form the model's ids, so any word can be spelled.
 
 Model: one layer of causal attention with a learned bias per distance, a feed-forward layer, and an
 output in two steps (class, member of the class) with biases by the previous id. Ids that begin a
@@ -20,32 +20,42 @@ Counts: texts are dealt once by hash into blocks of about ``BLOCK_BYTES``; a blo
 distinct word, a window over the word adds up training counts (a word in every text is one row per
 block), and the counts return to the blocks, where base and model scores are computed.
 
-Training takes a bounded sample (``SAMPLE_BYTES``) of texts that aren't held out; counts cover all
-of them. Cases: null or empty text: one token, the end. Without training texts the counts are 0
+Training takes all texts that aren't held out. They are spelled in pieces once and stored; pieces are
+counted over all of them, k-means passes read all their byte shapes, and the model visits every window:
+texts are dealt by hash into parts of about ``PART_BYTES`` and these into at most ``ROUNDS`` rounds. In
+a round each part runs Adam from the same state on windows in a random order, and the mean of the
+states, weighted by windows, is the next one (averaged piece by piece on executors; the driver gets one
+state). Small tables are passed over until some ``STEPS`` batches were seen. Parts, orders and sums are
+fixed by hashes, so a rerun gives the same model. Cases: null or empty text: one token, the end. Without training texts the counts are 0
 (base 0 per token) and the model stays at its random start. Null doc_ids are not held out. Repeated
 rows stay rows and count as often; extra columns aren't read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import NOT_SPACE, Words, early_hashes, ready, store
+from flowguard.llm.common import NOT_SPACE, Words, discard, give_back, keep_memory, mix, ready, slices, store
 from flowguard.llm.labelled import held_out
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 BLOCK_BYTES = 6 << 20
-SAMPLE_BYTES, SAMPLE_ROWS = 6 << 20, 20_000
+#: Text of one part of a training round (one task's work), and rounds of a pass over all texts.
+PART_BYTES, ROUNDS = 4 << 20, 8
 CLASSES = SIZE = 32  # ids = classes x members
 DIM, HIDDEN = 16, 32
 WINDOW, CONTEXT = 32, 8
 #: Windows scored at once: small enough for a core's cache.
 TOGETHER = 48
+#: Batches of windows that training sees at least, and windows of a batch.
 STEPS, BATCH = 3000, 64
 TOPICS = 4
 DISCOUNT = 0.75
@@ -57,21 +67,21 @@ END_WORD = np.uint64(0)
 # ----------------------------------------------------------------------------------- vocabulary
 
 
+def tokenizer_of(proto: bytes):
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_proto=proto)
+
+
 class Vocabulary:
     """Words to model ids. Id 0 is the end, id 1 the bare word start; further ids that begin a word
-    fill the first classes, ids inside a word the others (256 bytes among them)."""
-
-    def __init__(self, proto: bytes, words: list[str], counts: list[int]):
-        import sentencepiece
+    fill the first classes, ids inside a word the others (256 bytes among them). ``first``, ``inner``:
+    how often each piece of the tokenizer begins a word, and stands inside one."""
 
+    def __init__(self, proto: bytes, first: np.ndarray, inner: np.ndarray):
         self.proto = proto
-        sp = sentencepiece.SentencePieceProcessor(model_proto=proto)
+        sp = tokenizer_of(proto)
         pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
-        first, inner = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
-        for ids, n in zip(sp.encode(words, num_threads=1), counts, strict=True):
-            if ids:
-                first[ids[0]] += n
-                np.add.at(inner, ids[1:], n)
         plain = lambda i: not sp.is_byte(i) and not sp.is_unknown(i) and not sp.is_control(i)
         heads = [i for i in range(len(pieces)) if first[i] and plain(i) and pieces[i].startswith("▁") and pieces[i] != "▁"]
         tails = [i for i in range(len(pieces)) if inner[i] and plain(i) and "▁" not in pieces[i]]
@@ -101,10 +111,8 @@ class Vocabulary:
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, n+1 offsets)."""
-        import sentencepiece
-
         if not hasattr(self, "_sp"):
-            self._sp = sentencepiece.SentencePieceProcessor(model_proto=self.proto)
+            self._sp = tokenizer_of(self.proto)
         lead, own = self.lists
         flat: list[int] = []
         size = []
@@ -120,6 +128,21 @@ class Vocabulary:
             size.append(len(flat) - n)
         return np.array(flat, np.int32), np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
 
+    def texts(self, pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, n+1 offsets) of texts spelled in pieces (see ``spell_texts``), each with its end."""
+        table = [*self.lists[1], *self.lists[0], [END]]
+        size = np.array([len(t) for t in table])
+        begin, ids = np.cumsum(size) - size, np.array(list(chain.from_iterable(table)), np.int32)
+        many = len(self.lists[1])
+        rows = []
+        for p in pieces:
+            begins = p >= begins_word(p.dtype)
+            rows += [np.where(begins, p.astype(np.int64) - begins_word(p.dtype) + many, p), [2 * many]]
+        flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+        at = np.concatenate([[0], np.cumsum(size[flat])])
+        ends = np.cumsum([0, *(len(p) + 1 for p in pieces)])
+        return ids[np.repeat(begin[flat] - at[:-1], size[flat]) + np.arange(at[-1])], at[ends]
+
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "_sp"}
 
@@ -229,9 +252,7 @@ def gradients(p: dict, ids: np.ndarray, targets: np.ndarray, weight: np.ndarray)
     dm *= w[:, None]
     g = {n: np.zeros_like(m) for n, m in p.items()}
     g["Wc"], g["Wm"] = h.T @ dc, h.T @ dm
-    np.add.at(g["Bc"], flat, dc)
-    np.add.at(g["Bm"], flat, dm)
-    np.add.at(g["U"], t // SIZE, dm)
+    g["U"] = (np.arange(CLASSES)[:, None] == t // SIZE).astype(dm.dtype) @ dm
     dh = dc @ p["Wc"].T + dm @ p["Wm"].T
     g["W2"] = r.T @ dh
     dr = (dh @ p["W2"].T) * (r > 0)
@@ -246,47 +267,84 @@ def gradients(p: dict, ids: np.ndarray, targets: np.ndarray, weight: np.ndarray)
     ds *= np.float32(1 / np.sqrt(DIM))
     dqkv = np.concatenate([np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q), dv], -1).reshape(-1, 3 * DIM)
     g["QKV"] = x.reshape(-1, DIM).T @ dqkv
-    np.add.at(g["E"], flat, dh1 + dqkv @ p["QKV"].T)
+    # sums by input id of three tables at once
+    both = np.concatenate([dc, dm, dh1 + dqkv @ p["QKV"].T], 1)
+    wide = both.shape[1]
+    sums = np.zeros(CLASSES * SIZE * wide, both.dtype)
+    np.add.at(sums, (flat[:, None].astype(np.int64) * wide + np.arange(wide)).ravel(), both.ravel())
+    g["Bc"], g["Bm"], g["E"] = np.split(sums.reshape(-1, wide), [CLASSES, CLASSES + SIZE], 1)
     return loss, g
 
 
-def windows_of(ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Overlapping windows of documents whose ids (each ending with END) lie at first[d]:first[d+1].
-
-    Returns (inputs, targets, place of each target in ``ids`` or -1 if it isn't scored there). A
-    place's input is the id before it (END before the first)."""
-    step = WINDOW - CONTEXT
+def window_starts(first: np.ndarray, context: int = CONTEXT) -> tuple[np.ndarray, np.ndarray]:
+    """(document, number in it) of each window."""
     size = np.diff(first)
-    many = np.where(size > 0, 1 + np.maximum(0, -(-(size - WINDOW) // step)), 0)
+    many = np.where(size > 0, 1 + np.maximum(0, -(-(size - WINDOW) // (WINDOW - context))), 0)
     doc = np.repeat(np.arange(len(size)), many)
-    number = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    begin = first[:-1][doc] + number * step
+    return doc, np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+
+
+def windows_at(ids: np.ndarray, first: np.ndarray, doc: np.ndarray, number: np.ndarray, context: int = CONTEXT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    begin = first[:-1][doc] + number * (WINDOW - context)
     at = begin[:, None] + np.arange(WINDOW)[None, :]
     inside = at < first[1:][doc][:, None]
     safe = np.minimum(at, max(len(ids) - 1, 0))
     targets = np.where(inside, ids[safe], END)
     inputs = np.where(at > first[:-1][doc][:, None], ids[np.maximum(safe - 1, 0)], END)
-    scored = inside & ((number == 0)[:, None] | (np.arange(WINDOW) >= CONTEXT)[None, :])
+    scored = inside & ((number == 0)[:, None] | (np.arange(WINDOW) >= context)[None, :])
     return np.where(inside, inputs, END).astype(np.int32), targets.astype(np.int32), np.where(scored, at, -1)
 
 
-def train(ids: np.ndarray, first: np.ndarray, steps: int = STEPS, seed: int = 0, rate: float = 0.012) -> dict[str, np.ndarray]:
-    """Adam over random batches of windows; deterministic."""
-    p = fresh(seed)
-    if not len(ids):
-        return p
-    inputs, targets, place = windows_of(ids, first)
+def windows_of(ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Overlapping windows of documents whose ids (each ending with END) lie at first[d]:first[d+1].
+
+    Returns (inputs, targets, place of each target in ``ids`` or -1 if it isn't scored there). A
+    place's input is the id before it (END before the first)."""
+    return windows_at(ids, first, *window_starts(first))
+
+
+#: A training state as one row of numbers: weights, both moments, steps done.
+WEIGHTS = sum(int(np.prod(s)) for s in SHAPES.values())
+
+
+def parts_of(row: np.ndarray) -> dict[str, np.ndarray]:
+    """Weights (or moments) by name, as views of a row."""
+    at = np.cumsum([0, *(int(np.prod(s)) for s in SHAPES.values())])
+    return {k: row[at[i] : at[i + 1]].reshape(s) for i, (k, s) in enumerate(SHAPES.items())}
+
+
+def fresh_state(seed: int = 0) -> np.ndarray:
+    state = np.zeros(3 * WEIGHTS + 1, np.float32)
+    state[:WEIGHTS] = np.concatenate([v.ravel() for v in fresh(seed).values()])
+    return state
+
+
+def train(state: np.ndarray, ids: np.ndarray, first: np.ndarray, seed: int, share: tuple[float, float] = (0, 1), passes: int = 1, rate: float = 0.012) -> tuple[np.ndarray, int]:
+    """(state after Adam over all windows, ``passes`` times in random orders; number of windows);
+    deterministic. Windows don't overlap here: each id is learned once a pass. share: the part of the
+    whole training that this is, for the pace."""
+    keep_memory()
+    state = state.copy()
+    p = parts_of(state[:WEIGHTS])
+    weights, mean, square = state[: 3 * WEIGHTS].reshape(3, WEIGHTS)
+    doc, number = window_starts(first, 0)
     rng = np.random.default_rng(seed)
-    mean, square = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
-    for t in range(1, steps + 1):
-        pick = rng.integers(0, len(inputs), BATCH)
-        _, g = gradients(p, inputs[pick], targets[pick], place[pick] >= 0)
-        pace = rate * min(1, t / 50) * (1 - 0.95 * t / steps)
-        for k, m in p.items():
-            mean[k] += 0.1 * (g[k] - mean[k])
-            square[k] += 0.01 * (g[k] * g[k] - square[k])
-            m -= np.float32(pace) * (mean[k] / np.float32(1 - 0.9**t)) / (np.sqrt(square[k] / np.float32(1 - 0.99**t)) + np.float32(1e-7))
-    return p
+    t, total = int(state[-1]), max(1, passes * -(-len(doc) // BATCH))
+    done = 0
+    for _ in range(passes):
+        order = rng.permutation(len(doc))
+        for k in range(0, len(order), BATCH):
+            pick = order[k : k + BATCH]
+            inputs, targets, place = windows_at(ids, first, doc[pick], number[pick], 0)
+            g = np.concatenate([m.ravel() for m in gradients(p, inputs, targets, place >= 0)[1].values()])
+            t, done = t + 1, done + 1
+            pace = rate * min(1, t / 50) * (1 - 0.95 * (share[0] + (share[1] - share[0]) * done / total))
+            mean += np.float32(0.1) * (g - mean)
+            g *= g
+            square += np.float32(0.01) * (g - square)
+            weights -= np.float32(pace / (1 - 0.9**t)) * mean / (np.sqrt(square / np.float32(1 - 0.99**t)) + np.float32(1e-7))
+    state[-1] = t
+    return state, len(doc)
 
 
 def byte_shapes(data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -302,26 +360,6 @@ _LETTERS = np.zeros(256, bool)
 _LETTERS[97:123] = _LETTERS[128:] = True
 
 
-def topic_centres(shapes: np.ndarray, topics: int = TOPICS, tries: int = 12, seed: int = 0) -> np.ndarray:
-    """k-means with spread starts, the best of several; deterministic."""
-    best, least = np.full((topics, 256), 9.0), np.inf
-    rng = np.random.default_rng(seed)
-    for _ in range(tries if len(shapes) else 0):
-        centres = [shapes[rng.integers(len(shapes))]]
-        while len(centres) < topics:
-            d = np.min([((shapes - c) ** 2).sum(1) for c in centres], 0)
-            centres.append(shapes[rng.choice(len(shapes), p=d / d.sum())] if d.sum() else np.full(256, 9.0))
-        centres = np.stack(centres)
-        for _ in range(15):
-            near = topic_of(shapes, centres)
-            for k in np.unique(near):
-                centres[k] = shapes[near == k].mean(0)
-        loss = ((shapes - centres[topic_of(shapes, centres)]) ** 2).sum()
-        if loss < least:
-            best, least = centres, loss
-    return best
-
-
 def topic_of(shapes: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return ((centres**2).sum(1)[None, :] - 2 * shapes @ centres.T).argmin(1)
 
@@ -386,22 +424,6 @@ def word_logs(model: Model, which: np.ndarray, ids: np.ndarray, off: np.ndarray,
 # ------------------------------------------------------------------------------------ Spark side
 
 
-def training_texts(docs: DataFrame, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> list[str]:
-    """Whole texts that aren't held out, in a hashed order, as many as fit the bounds."""
-    usable = docs.where(~held_out(of=10) & F.col("text").isNotNull())
-    by = F.xxhash64(F.xxhash64("doc_id", "text"))
-    keyed = early_hashes(usable, by, rows, usable.count()).select(F.xxhash64("doc_id", "text").alias("k"), F.octet_length("text").alias("n"))
-    total, keys = 0, []
-    for r in keyed.orderBy(F.xxhash64("k"), "k").limit(rows).collect():
-        if total + r.n <= most_bytes:
-            total += r.n
-            keys.append(r.k)
-    spark = docs.sparkSession
-    chosen = spark.createDataFrame([(k,) for k in keys], "k long").distinct()  # at most ``rows`` numbers
-    near = docs.where(~held_out(of=10)).join(F.broadcast(chosen), F.xxhash64("doc_id", "text") == F.col("k"), "left_semi")
-    return sorted(r.text for r in near.select("text").collect() if r.text)
-
-
 def tokens_of(texts: pa.Array) -> tuple[Words, np.ndarray, np.ndarray]:
     """Words of texts; hash of each (never the end's); distinct hashes and the number of each word."""
     w = Words(texts, NOT_SPACE)
@@ -415,24 +437,224 @@ def word_strings(w: Words, at: np.ndarray) -> list[str]:
     return [raw[s:e].decode() for s, e in zip(w.start[at].tolist(), w.end[at].tolist(), strict=True)]
 
 
+def begins_word(kind: np.dtype) -> int:
+    """The bit of a stored piece that says that it begins a word."""
+    return 1 << (8 * kind.itemsize - 1)
+
+
+def pieces_of(sp, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(pieces of all words, n+1 offsets). Words of which the tokenizer keeps nothing are spelled by
+    the bare word start and its byte pieces."""
+    lists = sp.encode(words, num_threads=1)
+    empty = [k for k, ids in enumerate(lists) if not ids]
+    if empty:
+        byte = {int(sp.id_to_piece(i)[3:5], 16): i for i in range(sp.get_piece_size()) if sp.is_byte(i)}
+        for k in empty:
+            lists[k] = [sp.piece_to_id("▁"), *(byte[b] for b in words[k].encode() if b in byte)]
+    off = np.concatenate([[0], np.cumsum([len(ids) for ids in lists], dtype=np.int64)])
+    return np.fromiter(chain.from_iterable(lists), np.int64, off[-1]), off
+
+
+TRAINING = "part int, round int, k long, pieces binary, shape binary"
+
+
+def spell_texts(docs: DataFrame, proto: Broadcast) -> DataFrame:
+    """``TRAINING``, stored: every text that isn't held out, dealt by the hash ``k``, in pieces of the
+    tokenizer (16 or 32 bits each, the highest says that it begins a word), and its byte shape."""
+    rows = docs.where(~held_out(of=10)).select(F.xxhash64("doc_id", "text").alias("k"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    parts = (rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0) // PART_BYTES + 1
+    part = F.pmod(F.xxhash64("k", F.lit(7)), F.lit(parts)).cast("int")
+    dealt = rows.select(part.alias("part"), (part % F.lit(min(parts, ROUNDS))).cast("int").alias("round"), "k", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sp = tokenizer_of(proto.value)
+        kind = np.dtype(np.uint16 if sp.get_piece_size() <= 1 << 15 else np.uint32)
+        for batch in batches:
+            for some in slices(batch, "text"):
+                w, _, (word, number) = tokens_of(some.column(3))
+                seen = np.full(len(word), len(number))
+                np.minimum.at(seen, number, np.arange(len(number)))
+                flat, off = pieces_of(sp, word_strings(w, seen)) if len(word) else (np.zeros(0, np.int64), np.zeros(1, np.int64))
+                flat[off[:-1]] |= begins_word(kind)
+                size = np.diff(off)[number]
+                at = np.concatenate([[0], np.cumsum(size)])
+                flat = flat[np.repeat(off[:-1][number] - at[:-1], size) + np.arange(at[-1])].astype(kind)
+                blobs = [flat[s:e].tobytes() for s, e in zip(at[w.first[:-1]].tolist(), at[w.first[1:]].tolist(), strict=True)]
+                shapes = np.rint(byte_shapes(w.low, w.off)[:, _LETTERS] * SHAPE_ONE).astype(np.uint16)
+                yield pa.RecordBatch.from_arrays(
+                    [*some.columns[:3], pa.array(blobs, pa.binary()), pa.array([r.tobytes() for r in shapes], pa.binary())], ["part", "round", "k", "pieces", "shape"]
+                )
+
+    return store(dealt.mapInArrow(run, TRAINING), "lm-training")
+
+
+def totals(rows: DataFrame) -> dict[int, np.ndarray]:
+    """Rows ``name int, numbers binary`` (64-bit integers), added up by name."""
+
+    def run(table: pa.Table) -> pa.Table:
+        total = np.sum([np.frombuffer(b.as_buffer(), np.int64) for b in table.column("numbers")], 0)
+        return pa.table([table.column("name").slice(0, 1), pa.array([total.tobytes()], pa.binary())], ["name", "numbers"])
+
+    return {r.name: np.frombuffer(r.numbers, np.int64) for r in rows.groupBy("name").applyInArrow(run, rows.schema).collect()}
+
+
+def named(rows: dict[int, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int32()), pa.array([v.astype(np.int64).tobytes() for v in rows.values()], pa.binary())], ["name", "numbers"])
+
+
+def piece_counts(training: DataFrame, pieces: int) -> tuple[np.ndarray, np.ndarray]:
+    """How often each piece begins a word, and stands inside one, in all training texts."""
+    kind = np.dtype(np.uint16 if pieces <= 1 << 15 else np.uint32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros((2, pieces), np.int64)
+        for batch in batches:
+            flat = np.frombuffer(b"".join(batch.column(0).to_pylist()), kind)
+            begins = flat >= begins_word(kind)
+            for k, some in enumerate((flat[begins] - begins_word(kind), flat[~begins])):
+                own[k] += np.bincount(some, minlength=pieces)
+        yield named({0: own[0], 1: own[1]})
+
+    got = totals(training.select("pieces").mapInArrow(run, "name int, numbers binary"))
+    return tuple(got.get(k, np.zeros(pieces, np.int64)) for k in (0, 1))
+
+
+#: Byte shapes are kept as multiples of this, so that their sums don't depend on the order.
+SHAPE_ONE = 1 << 15
+#: What no text is near to: the centre of a group that stays empty.
+FAR = 9.0
+
+
+def topic_centres(training: DataFrame, topics: int = TOPICS, tries: int = 12, rounds: int = 15) -> np.ndarray:
+    """k-means over the shapes of all training texts with spread starts, the best of several;
+    deterministic. The tries run side by side: each pass over the stored shapes serves all of them.
+
+    A start is drawn with a chance by its squared distance from the nearest start before: of all
+    texts the one with the least -log(u) / distance, u being a hash of the text and the try."""
+    width = int(_LETTERS.sum())
+    shapes_of = lambda batch: np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, width)
+
+    def distances(q: np.ndarray, centres: np.ndarray) -> np.ndarray:
+        """texts x tries x centres"""
+        x, c = q / SHAPE_ONE, centres.reshape(-1, width)
+        d = (x**2).sum(1)[:, None] + (c**2).sum(1)[None, :] - 2 * x @ c.T
+        return np.maximum(d, 0).reshape(len(q), tries, -1)
+
+    def start(centres: np.ndarray) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                k, q = batch.column(0).to_numpy().view(np.uint64), shapes_of(batch)
+                if not len(k):
+                    continue
+                salt = np.arange(1, tries + 1, dtype=np.uint64) * np.uint64(1000) + np.uint64(centres.shape[1])
+                u = ((mix(k[:, None] ^ mix(salt)[None, :]) >> np.uint64(11)).astype(float) + 0.5) / (1 << 53)
+                near = distances(q, centres).min(2) if centres.shape[1] else np.ones(u.shape)
+                key = np.where(near > 1e-12, -np.log(u) / np.maximum(near, 1e-12), np.inf)
+                best = key.argmin(0)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(tries, dtype=np.int32)), pa.array(key.min(0)), pa.array(k[best].view(np.int64)), pa.array([q[b].tobytes() for b in best], pa.binary())], ["try", "key", "k", "shape"]
+                )
+
+        rows = training.select("k", "shape").mapInArrow(run, "try int, key double, k long, shape binary").where(F.col("key") < float("inf"))
+        next_ = np.full((tries, 1, width), FAR)
+        for r in rows.groupBy("try").agg(F.min(F.struct("key", "k", "shape")).alias("b")).collect():
+            next_[r["try"], 0] = np.frombuffer(r.b["shape"], np.uint16) / SHAPE_ONE
+        return np.concatenate([centres, next_], 1)
+
+    def step(centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The centres' texts' means, and each try's loss (in whole millionths a text)."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = np.zeros((tries, topics, width + 1), np.int64)
+            loss = np.zeros(tries, np.int64)
+            for batch in batches:
+                q = shapes_of(batch)
+                d = distances(q, centres)
+                loss += np.rint(d.min(2) * 1e6).astype(np.int64).sum(0)
+                member = d.argmin(2)[:, :, None] == np.arange(topics)
+                one = np.concatenate([q, np.ones((len(q), 1))], 1)  # whole numbers below 2**53: exact in any order
+                own += (member.reshape(len(q), -1).T.astype(float) @ one).astype(np.int64).reshape(own.shape)
+            yield named({k: np.append(own[k].ravel(), loss[k]) for k in range(tries)})
+
+        got = totals(training.select("k", "shape").mapInArrow(run, "name int, numbers binary"))
+        out, losses = centres.copy(), np.zeros(tries)
+        for k, numbers in got.items():
+            sums, losses[k] = numbers[:-1].reshape(topics, width + 1), numbers[-1]
+            there = sums[:, -1] > 0
+            out[k, there] = sums[there, :-1] / sums[there, -1:] / SHAPE_ONE
+        return out, losses
+
+    centres = np.zeros((tries, 0, width))
+    for _ in range(topics):
+        centres = start(centres)
+    for _ in range(rounds):
+        moved, losses = step(centres)
+        if (moved == centres).all():
+            break
+        centres = moved
+    else:
+        _, losses = step(centres)
+    out = np.zeros((topics, 256))
+    out[:, _LETTERS] = centres[int(losses.argmin())]
+    return out
+
+
+#: Pieces of a state that are averaged apart.
+CHUNKS = 16
+
+
+def trained(training: DataFrame, vocabulary: Vocabulary, pieces: int, seed: int = 0) -> dict[str, np.ndarray]:
+    """The model's weights after all windows of all training texts (``pieces`` in all)."""
+    spark = training.sparkSession
+    parts = {r["round"]: r.n for r in training.groupBy("round").agg(F.count_distinct("part").alias("n")).collect()}  # ROUNDS rows
+    passes = max(1, -(-STEPS * BATCH * WINDOW // max(pieces, 1)))
+    passes = min(passes, STEPS)  # a table of a few words: a batch a pass
+    state = fresh_state(seed)
+    many = len(vocabulary.lists[0])
+    kind = np.dtype(np.uint16 if many <= 1 << 15 else np.uint32)
+    words = spark.sparkContext.broadcast(vocabulary)
+    bounds = np.linspace(0, len(state), CHUNKS + 1).astype(int)
+    for number, r in enumerate(sorted(parts)):
+        shared = spark.sparkContext.broadcast(state)
+        share = (number / len(parts), (number + 1) / len(parts))
+
+        def run(table: pa.Table) -> pa.Table:
+            table = table.sort_by("k")  # equal hashes: equal texts
+            ids, first = words.value.texts([np.frombuffer(b.as_buffer(), kind) for b in table.column("pieces")])
+            part = table.column("part")[0].as_py()
+            after, windows = train(shared.value, ids, first, seed * 1_000_003 + part, share, passes)
+            give_back()
+            blobs = [after[s:e].tobytes() for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
+            return pa.table([pa.array(range(CHUNKS), pa.int32()), pa.array([part] * CHUNKS, pa.int32()), pa.array([windows] * CHUNKS, pa.int64()), pa.array(blobs, pa.binary())], ["chunk", "part", "windows", "numbers"])
+
+        def mean(table: pa.Table) -> pa.Table:
+            table = table.sort_by("part")
+            weight = table.column("windows").to_numpy().astype(float)
+            total = sum(w * np.frombuffer(b.as_buffer(), np.float32).astype(float) for w, b in zip(weight, table.column("numbers"), strict=True))
+            return pa.table([table.column("chunk").slice(0, 1), pa.array([(total / weight.sum()).astype(np.float32).tobytes()], pa.binary())], ["chunk", "numbers"])
+
+        rows = training.where(F.col("round") == r).select("part", "k", "pieces").repartition(2 * parts[r], "part")
+        after = rows.groupBy("part").applyInArrow(run, "chunk int, part int, windows long, numbers binary")
+        got = after.groupBy("chunk").applyInArrow(mean, "chunk int, numbers binary").collect()  # one state
+        state = np.concatenate([np.frombuffer(g.numbers, np.float32) for g in sorted(got, key=lambda g: g.chunk)])
+        shared.destroy()
+    words.destroy()
+    return {k: v.copy() for k, v in parts_of(state[:WEIGHTS]).items()}
+
+
 def fit(docs: DataFrame, tokenizer: str = TOKENIZER) -> Model:
+    """The model of all texts that aren't held out."""
+    spark = docs.sparkSession
+    ready(spark)
     with open(tokenizer, "rb") as f:
         proto = f.read()
-    texts = training_texts(docs)
-    w, _, (_, number) = tokens_of(pa.array(texts, pa.large_string()))
-    _, seen = np.unique(number, return_index=True)
-    words = word_strings(w, seen) if len(seen) else []
-    vocabulary = Vocabulary(proto, words, np.bincount(number).tolist() if len(number) else [])
-    ids, off = vocabulary.encode(words)
-    count = w.count + 1
-    which = np.full(count.sum(), -1)
-    inner = np.ones(len(which), bool)
-    inner[np.cumsum(count) - 1] = False
-    which[inner] = number
-    flat, at = spelled(which, ids, off)
-    first = at[np.concatenate([[0], np.cumsum(count)])]
-    weights = train(flat, first)
-    return Model(vocabulary, weights, topic_centres(byte_shapes(w.low, w.off)))
+    training = spell_texts(docs, spark.sparkContext.broadcast(proto))
+    first, inner = piece_counts(training, tokenizer_of(proto).get_piece_size())
+    vocabulary = Vocabulary(proto, first, inner)
+    weights = trained(training, vocabulary, int(first.sum() + inner.sum()))
+    model = Model(vocabulary, weights, topic_centres(training))
+    discard(training)
+    return model
 
 
 def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:

@@ -133,3 +133,33 @@ def test_edge_cases(spark, model):
     assert x.scored(df.where("false"), model).count() == 0
     none = x.scored(df.where("doc_id = 999 or doc_id = 4").withColumn("doc_id", F.lit(26).cast("long")), model).collect()
     assert len(none) == 1
+
+
+def test_the_model_learns_from_every_text(spark, monkeypatch):
+    """Two texts of 4.2 MB: a fit on 6 MB of text would leave one of them out."""
+    monkeypatch.setattr(x, "STEPS", 10)
+    ids = [d for d in range(1, 99) if zlib.crc32(str(d).encode()) % 10][:2]
+    some = ["about", "или"]
+    df = spark.createDataFrame([(d, (w + " ") * ((42 << 17) // 10 * 8 // len((w + " ").encode()))) for d, w in zip(ids, some)], "doc_id long, text string")
+    vocabulary = x.fit(df).vocabulary
+    _, off = vocabulary.encode(some)
+    assert off.tolist() == [0, 1, 2]  # each word is an id of its own
+
+
+def test_the_model_does_not_depend_on_the_partitions(spark, monkeypatch):
+    monkeypatch.setattr(x, "STEPS", 40)
+    monkeypatch.setattr(x, "PART_BYTES", 100_000)
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    a, b = x.fit(df.repartition(1)), x.fit(df.repartition(5))
+    assert a.vocabulary.lists == b.vocabulary.lists and (a.centres == b.centres).all()
+    assert all((a.weights[k] == b.weights[k]).all() for k in a.weights)
+    assert not (a.weights["E"] == x.fresh()["E"]).all()
+
+
+def test_stored_pieces_spell_the_same_ids(spark, model):
+    sp, v = x.tokenizer_of(model.vocabulary.proto), model.vocabulary
+    some = ["the", "é", "日本", "a" * 300, "▁x", "\x00", "<unk>"]
+    flat, off = x.pieces_of(sp, some)
+    flat[off[:-1]] |= 1 << 15
+    ids, first = v.texts([flat.astype(np.uint16), np.zeros(0, np.uint16)])
+    assert ids.tolist() == [*v.encode(some)[0].tolist(), x.END, x.END] and first.tolist() == [0, len(ids) - 1, len(ids)]
