@@ -58,3 +58,27 @@ def test_large_joins_shuffle_only_columns_that_are_read(spark):
     # no raw host or port column is carried past the keys made of it
     projects = [x for x in large._jdf.queryExecution().optimizedPlan().toString().splitlines() if "__salt" in x and "Project" in x]
     assert projects and not any("Source IP#" in x.split(" AS __salt")[-1] for x in projects)
+
+
+def test_small_tables_counts_are_not_shuffled_for_large_joins(spark):
+    """The counts that are broadcast are joined after the shuffles, and columns stay in their order."""
+    from flowguard.operators import graph
+    from flowguard.schema import FlowSchema
+
+    raw = flows(spark)
+    g = graph.fit_graph(raw, FlowSchema.resolve(raw.columns))
+    g.sizes = {n: 10**9 if n == "edge" else 1 for n in g.sizes}
+    mixed = graph.apply_graph(raw, g, broadcast_rows=10)
+    plan = [x for x in mixed._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in x]
+    on = [x for x in plan if "__salt" in x]
+    assert len(on) == 1 and plan.index(on[0]) > len(plan) - 3  # above it only the hot keys of its own table
+    g.sizes = {n: 1 for n in g.sizes}
+    small = graph.apply_graph(raw, g, broadcast_rows=10)
+    assert sorted(mixed.columns) == sorted(small.columns) and mixed.columns[: len(raw.columns)] == small.columns[: len(raw.columns)]
+    assert sorted(map(str, mixed.select(small.columns).collect())) == sorted(map(str, small.collect()))
+
+
+def test_stored_tables_are_packed(spark):
+    kept = stored(flows(spark))
+    files = glob.glob(kept._flowguard_path.replace("file:", "") + "/*.parquet")
+    assert files and all(".zstd." in f for f in files)
